@@ -1,0 +1 @@
+"""Empty on purpose: the data model has no stream source, window or stateful operator."""
