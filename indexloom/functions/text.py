@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # The characters Unicode counts as white space.
@@ -55,6 +57,11 @@ _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _STAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}([.,]\d+)?(Z|[+-]\d{2}:?\d{2})$"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it many times within ``body``."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def strip_space(text: Column) -> Column:
     """Trim every kind of Unicode white space, not only blanks."""
     return F.btrim(text, F.lit(WHITESPACE))
@@ -71,13 +78,14 @@ def fold_case(text: Column) -> Column:
 
 def parse_size(text: Column) -> Column:
     """'1.2 kB' to bytes, cut to a whole number; text without a number gives 0."""
-    words = F.split(strip_space(text), r"\s+")
-    number = F.when(F.get(words, 0).rlike(_NUMBER), F.get(words, 0).try_cast("double"))
-    unit = F.get(words, 1)
-    factor = F.lit(1)
-    for name, size in SIZE_UNITS.items():
-        factor = F.when(unit == name, F.lit(size)).otherwise(factor)
-    return F.coalesce((number * factor).try_cast("bigint"), F.lit(0).cast("bigint"))
+    units = F.create_map(*[F.lit(x) for pair in SIZE_UNITS.items() for x in pair])
+
+    def size(words: Column) -> Column:
+        number = F.when(F.get(words, 0).rlike(_NUMBER), F.get(words, 0).try_cast("double"))
+        factor = F.coalesce(F.try_element_at(units, F.get(words, 1)), F.lit(1))
+        return (number * factor).try_cast("bigint")
+
+    return F.coalesce(let(F.split(strip_space(text), r"\s+"), size), F.lit(0).cast("bigint"))
 
 
 def parse_timestamp(text: Column) -> Column:

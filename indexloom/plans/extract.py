@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from indexloom.functions import html as H
-from indexloom.functions.text import blank_to_null, parse_size, strip_space
+from indexloom.functions.text import blank_to_null, let, parse_size, strip_space
 from indexloom.registry import ENTITIES
 
 # The texts and markers index pages carry.
@@ -209,12 +209,12 @@ def attestation(panel: Column, items: Column) -> Column:
         lambda n: n != "",
     )
     fields = list(PROVENANCE_LABELS)
-    codes = F.transform(
+    found = F.transform(
         F.array(*[H.first_leaf(H.item_with_prefix(items, PROVENANCE_LABELS[f])["html"], "code") for f in fields]),
         lambda html: blank_to_null(H.clean_text(html)),
     )
     number = F.try_element_at(indexes, F.lit(-1)).try_cast("bigint")
-    row = F.struct(
+    row = lambda codes: F.struct(
         F.coalesce(number, F.lit(0).cast("bigint")).alias("sigstore_log_index"),
         H.time_stamp(H.item_with_prefix(items, "Sigstore integration time:")["html"]).alias("integration_time"),
         *[
@@ -222,7 +222,7 @@ def attestation(panel: Column, items: Column) -> Column:
             for n, f in enumerate(fields)
         ],
     )
-    return F.when(heading, row)
+    return F.when(heading, let(found, row))
 
 
 def file_panels(divs: Column, kinds: Column) -> Column:
@@ -382,21 +382,41 @@ def parse_pages(pages: DataFrame, fields: tuple[str, ...] = tuple(FIELDS)) -> Da
             lambda f: F.struct(f["filename"], f["kind"], f["panel"], H.list_items(f["panel"]).alias("items")),
         )
         step = step.withColumn("_panels", panels)
-    return step.select(
-        *carried, "version", "current_version", "history", "kinds", *[FIELDS[f]().alias(f) for f in fields]
-    )
+    found = {"current_version": F.col("current_version"), "history": F.col("history"), "kinds": F.col("kinds")}
+    return evaluated_once(step, [*carried, "version"], {**found, **{f: FIELDS[f]() for f in fields}})
+
+
+def evaluated_once(df: DataFrame, keep: list[str], columns: dict[str, Column]) -> DataFrame:
+    """``keep`` plus computed columns, through a generator over a single struct.
+
+    Filters and further projections are not moved below a generator. Without it
+    a filter on a parsed field is pushed through every projection down to the
+    scan, where the page rules are repeated for each mention of their inputs.
+    """
+    row = F.struct(*[v.alias(k) for k, v in columns.items()])
+    return df.select(*keep, F.inline_outer(F.array(row)))
+
+
+def _inlined(parsed: DataFrame, order: list[str], rows: Column) -> DataFrame:
+    """One output row per struct of the array, its fields as columns.
+
+    The array holds exactly the fields that are wanted. Picking fields after an
+    explode would make the optimizer evaluate the page rules once per field.
+    """
+    head = [*order, F.col("package").alias("package_name"), "version"]
+    return parsed.select(*head, rows.alias("_rows")).select(*order, "package_name", "version", F.inline("_rows"))
 
 
-def _exploded(parsed: DataFrame, order: list[str], array: str) -> DataFrame:
-    return parsed.select(
-        *order, F.col("package").alias("package_name"), "version", F.posexplode(array).alias("pos", "row")
+def _positioned(array: str, **fields) -> Column:
+    """Array of structs with ``pos`` and the named fields of each element."""
+    return F.transform(
+        array, lambda e, n: F.struct(n.alias("pos"), *[(f(e) if callable(f) else e[f]).alias(k) for k, f in fields.items()])
     )
 
 
-def _file_exploded(parsed: DataFrame, order: list[str], field: str) -> DataFrame:
-    files = parsed.select(*order, F.col("package").alias("package_name"), "version", F.explode("files").alias("f"))
-    head = ["package_name", "version", F.col("f.filename").alias("filename")]
-    return files.select(*order, *head, F.col(f"f.{field}").alias("row"))
+def _per_file(make) -> Column:
+    """Array over all files of what ``make(file)`` gives as an array."""
+    return F.flatten(F.transform("files", make))
 
 
 def entity_rows(parsed: DataFrame, entity: str, order: list[str] | None = None) -> DataFrame:
@@ -435,39 +455,38 @@ def entity_rows(parsed: DataFrame, entity: str, order: list[str] | None = None)
             F.col("contact.verified").alias("meta_maintainer_email_verified"),
         )
     if entity == "release_file":
-        return _exploded(parsed, order, "files").select(
-            *order, *pos, "package_name", "version", *[f"row.{c}" for c in names[2:]]
-        )
+        rows = _inlined(parsed, order, _positioned("files", **{c: c for c in names[2:]}))
+        return rows.select(*order, *pos, *names)
     if entity == "file_hash":
-        return _file_exploded(parsed, order, "hashes").select("*", F.explode("row").alias("h")).select(
-            *order, "package_name", "version", "filename", "h.algorithm", "h.digest"
+        hashes = _per_file(
+            lambda f: F.transform(
+                f["hashes"], lambda h: F.struct(f["filename"].alias("filename"), h["algorithm"], h["digest"])
+            )
         )
+        return _inlined(parsed, order, hashes).toDF(*order, *names)
     if entity == "release_file_tag":
-        return _file_exploded(parsed, order, "wheel_tag").where("row is not null").withColumnRenamed("row", "wheel_tag")
+        tagged = F.filter("files", lambda f: f["wheel_tag"].isNotNull())
+        return _inlined(parsed, order, F.transform(tagged, lambda f: F.struct(f["filename"], f["wheel_tag"]))).toDF(
+            *order, *names
+        )
     if entity == "attestation":
-        return _file_exploded(parsed, order, "attestation").where("row is not null").select(
-            *order, "package_name", "version", "filename", *[f"row.{c}" for c in names[3:]]
+        proven = F.filter("files", lambda f: f["attestation"].isNotNull())
+        rows = F.transform(
+            proven, lambda f: F.struct(f["filename"], *[f["attestation"][c].alias(c) for c in names[3:]])
         )
+        return _inlined(parsed, order, rows).toDF(*order, *names)
     if entity == "project_link":
-        return _exploded(parsed, order, "links").select(
-            *order, *pos, "package_name", "version", "row.label", "row.url", "row.verified"
-        )
-    if entity == "classifier":
-        return _exploded(parsed, order, "classifiers").select(*order, *pos, "row.category", "row.value")
-    if entity == "tagged_with":
-        return _exploded(parsed, order, "classifiers").select(
-            *order, *pos, "package_name", "version", "row.category", "row.value"
-        )
-    if entity == "release_keyword":
-        return _exploded(parsed, order, "keywords").select(
-            *order, *pos, "package_name", "version", F.col("row").alias("keyword")
-        )
-    if entity == "release_extra":
-        return _exploded(parsed, order, "extras").select(
-            *order, *pos, "package_name", "version", F.col("row").alias("extra_name")
-        )
-    if entity == "maintained_by":
-        return _exploded(parsed, order, "maintainers").select(
-            *order, *pos, "package_name", F.col("row").alias("maintainer_username")
-        )
+        rows = _inlined(parsed, order, _positioned("links", label="label", url="url", verified="verified"))
+        return rows.select(*order, *pos, *names)
+    if entity in ("classifier", "tagged_with"):
+        rows = _inlined(parsed, order, _positioned("classifiers", category="category", value="value"))
+        return rows.select(*order, *pos, *names)
+    lists = {
+        "release_keyword": ("keywords", "keyword"),
+        "release_extra": ("extras", "extra_name"),
+        "maintained_by": ("maintainers", "maintainer_username"),
+    }
+    if entity in lists:
+        array, column = lists[entity]
+        return _inlined(parsed, order, _positioned(array, **{column: lambda e: e})).select(*order, *pos, *names)
     raise ValueError(f"{entity} does not come from package pages")

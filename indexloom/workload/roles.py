@@ -179,7 +179,7 @@ VIEWS = {
     "q_release_file": """
         select o_orderkey * 2 as release_file_id, o_orderkey as release_id,
                cast(o_orderkey as string) || '.tar.gz' as filename, '/p/' || cast(o_orderkey as string) as path,
-               cast(o_totalprice as bigint) as size, cast(o_orderdate as string) as upload_time
+               cast(floor(o_totalprice) as bigint) as size, cast(o_orderdate as string) as upload_time
         from {orders}""",
     "q_file_hash": """
         select o_orderkey * 2 as release_file_id, a.algorithm, md5(a.algorithm || cast(o_orderkey as string)) as digest
