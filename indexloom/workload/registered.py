@@ -1,5 +1,5 @@
 """All registered queries by name."""
 
-from indexloom.workload import extraction, questions
+from indexloom.workload import cleaning, extraction, loading, questions
 
-QUERIES = {**questions.QUERIES, **extraction.QUERIES}
+QUERIES = {**questions.QUERIES, **cleaning.QUERIES, **loading.QUERIES, **extraction.QUERIES}

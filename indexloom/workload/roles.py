@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from indexloom.registry import HASH_ALGORITHMS
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
@@ -49,8 +51,7 @@ _HASHES = """
 select f.package_name, f.version, f.filename, a.algorithm,
        case a.algorithm when 'SHA256' then {sha_filename} when 'MD5' then md5(f.filename)
             else {sha_b2} end as digest
-from ({files}) f
-cross join (select 'SHA256' as algorithm union all select 'MD5' union all select 'BLAKE2b-256') a
+from ({files}) f {algorithms}
 """
 
 ENTITY_VIEWS = {
@@ -126,18 +127,22 @@ ENTITY_VIEWS = {
 ENTITY_VIEWS["classifier"] = f"select distinct category, value from ({ENTITY_VIEWS['tagged_with']}) t"
 
 
-def _hash_view(sha: Callable[[str], str]) -> str:
-    return (
-        _HASHES.replace("{files}", _FILES)
-        .replace("{sha_filename}", sha("f.filename"))
-        .replace("{sha_b2}", sha("'b2' || f.filename"))
-    )
+# How each engine writes one row per algorithm and a SHA-256 in hex.
+_ALGORITHMS = ", ".join(f"'{a}'" for a in HASH_ALGORITHMS)
+_SPARK = {"algorithms": f"lateral view explode(array({_ALGORITHMS})) a as algorithm", "sha256": "sha2({x}, 256)"}
+_CHECKER = {"algorithms": f", unnest([{_ALGORITHMS}]) a(algorithm)", "sha256": "sha256({x})"}
+
+
+def _text(name: str, dialect: dict[str, str]) -> str:
+    text = _HASHES.replace("{files}", _FILES) if name == "file_hash" else VIEWS.get(name) or ENTITY_VIEWS[name]
+    for mark, arg in (("{sha_filename}", "f.filename"), ("{sha_b2}", "'b2' || f.filename")):
+        text = text.replace(mark, dialect["sha256"].replace("{x}", arg))
+    return text.replace("{algorithms}", dialect["algorithms"])
 
 
 def view_sql(name: str) -> str:
     """A role view as SQL for the checking engine; usable as a subquery."""
-    text = _hash_view(lambda x: f"sha256({x})") if name == "file_hash" else VIEWS.get(name) or ENTITY_VIEWS[name]
-    return plain(text)
+    return plain(_text(name, _CHECKER))
 
 
 def plain(text: str) -> str:
@@ -149,8 +154,7 @@ def plain(text: str) -> str:
 
 def view(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """The same role view as a DataFrame."""
-    text = _hash_view(lambda x: f"sha2({x}, 256)") if name == "file_hash" else VIEWS.get(name) or ENTITY_VIEWS[name]
-    return sql(spark, sf, text)
+    return sql(spark, sf, _text(name, _SPARK))
 
 
 def sql(spark: SparkSession, sf: str, text: str) -> DataFrame:
@@ -183,8 +187,7 @@ VIEWS = {
         from {orders}""",
     "q_file_hash": """
         select o_orderkey * 2 as release_file_id, a.algorithm, md5(a.algorithm || cast(o_orderkey as string)) as digest
-        from {orders} cross join (select 'SHA256' as algorithm union all select 'MD5' union all select 'BLAKE2b-256') a
-        """,
+        from {orders} {algorithms}""",
     # Orders as packages and lineitem as links: some packages have no link.
     "q_linked_package": "select o_orderkey as package_id, 'order ' || cast(o_orderkey as string) as name from {orders}",
     "q_link": "select l_orderkey as package_id, l_suppkey as maintainer_id from {lineitem}",
