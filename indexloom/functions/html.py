@@ -9,10 +9,11 @@ contain themselves (a, code, time, h3 ...) are matched by pattern.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-from indexloom.functions.text import blank_to_null, strip_space
+from indexloom.functions.text import blank_to_null, let, strip_space
 
 # Named character references that index pages use.
 NAMED_REFERENCES = {
@@ -106,7 +107,7 @@ def time_stamp(fragment: Column) -> Column:
     return blank_to_null(attribute(fragment, "datetime", "time"))
 
 
-def element_spans(pieces: Column, label_of) -> Column:
+def element_spans(pieces: Column, label_of: Callable[[Column], Column]) -> Column:
     """Outermost elements over ``pieces`` (text split before each tag of one kind).
 
     ``label_of`` maps a piece to a label, null where the piece opens nothing of
@@ -162,6 +163,12 @@ def inner(outer: Column) -> Column:
     return F.regexp_replace(outer, r"^<[^>]*>", "")
 
 
+def elements(fragment: Column, tag: str, wanted: Callable[[Column], Column]) -> Column:
+    """HTML of the outermost elements whose opening piece satisfies ``wanted``, in page order."""
+    mark = lambda p: F.when(wanted(p), F.lit("x"))
+    return let(pieces_by(fragment, tag), lambda p: F.transform(element_spans(p, mark), lambda s: cut(p, s)))
+
+
 def labelled(pieces: Column, spans: Column, label: str) -> Column:
     """All spans with one label, as HTML, in page order."""
     return F.transform(F.filter(spans, lambda s: s["label"] == label), lambda s: cut(pieces, s))
@@ -169,8 +176,8 @@ def labelled(pieces: Column, spans: Column, label: str) -> Column:
 
 def first_labelled(pieces: Column, spans: Column, label: str) -> Column:
     """First span with the label; '' if none. Hidden second copies are never read."""
-    hits = F.filter(spans, lambda s: s["label"] == label)
-    return F.coalesce(cut(pieces, F.get(hits, 0)), F.lit(""))
+    hit = F.get(F.filter(spans, lambda s: s["label"] == label), 0)
+    return F.coalesce(let(hit, lambda s: cut(pieces, s)), F.lit(""))
 
 
 def list_items(fragment: Column) -> Column:

@@ -279,13 +279,9 @@ def project_links(verified: Column, unverified: Column) -> Column:
 
 def classifiers(tags: Column) -> Column:
     """First classifier list: array of (category, value)."""
-    pieces = H.pieces_by(tags, "ul")
-    spans = H.element_spans(pieces, lambda p: F.when(p.rlike("^" + H.opening("ul", "sidebar-section__classifiers")), "c"))
-    listing = H.first_labelled(pieces, spans, "c")
-    li = H.pieces_by(H.inner(listing), "li")
-    groups = H.labelled(
-        li, H.element_spans(li, lambda p: F.when(p.startswith("<li"), "g")), "g"
-    )
+    opens = "^" + H.opening("ul", "sidebar-section__classifiers")
+    listing = F.get(H.elements(tags, "ul", lambda p: p.rlike(opens)), 0)
+    groups = H.elements(F.coalesce(H.inner(listing), F.lit("")), "li", lambda p: F.lit(True))
 
     def group(g: Column) -> Column:
         category = H.clean_text(H.first_leaf(g, "strong"))
@@ -306,9 +302,8 @@ def maintainers(verified: Column) -> Column:
 
 def joined_at(html: Column) -> Column:
     """Join date of a profile page: first block with the calendar icon; null if it shows none."""
-    pieces = H.pieces_by(H.without_hidden(html), "div")
-    label = lambda p: F.when(p.rlike("^" + H.opening("div", "author-profile__metadiv")), "m")
-    blocks = H.labelled(pieces, H.element_spans(pieces, label), "m")
+    opens = "^" + H.opening("div", "author-profile__metadiv")
+    blocks = H.elements(H.without_hidden(html), "div", lambda p: p.rlike(opens))
     dated = F.get(F.filter(blocks, lambda b: b.rlike(H.opening("i", "fa-calendar-alt"))), 0)
     return H.time_stamp(dated)
 
@@ -319,6 +314,9 @@ def first_match(entries: Column, version: Column) -> Column:
 
 
 FIELDS = {
+    "current_version": lambda: F.coalesce(current_version(F.col("_name")), F.get(F.col("_history"), 0)["version"]),
+    "history": lambda: F.col("_history"),
+    "kinds": lambda: F.col("_kinds"),
     "lifecycle_status": lambda: quarantine_status(F.col("_header")),
     "organization": lambda: owner(F.col("_verified")),
     "created": lambda: H.time_stamp(F.col("_date")),
@@ -370,20 +368,17 @@ def parse_pages(pages: DataFrame, fields: tuple[str, ...] = tuple(FIELDS)) -> Da
     """
     carried = [c for c in pages.columns if c not in ("html", "version")]
     step = with_regions(pages).withColumns(
-        {"history": history(F.col("_timeline")), "kinds": file_kinds(F.col("_files"))}
+        {"_history": history(F.col("_timeline")), "_kinds": file_kinds(F.col("_files"))}
     )
-    step = step.withColumn(
-        "current_version", F.coalesce(current_version(F.col("_name")), F.get(F.col("history"), 0)["version"])
-    ).withColumn("version", F.coalesce(F.col("version"), F.col("current_version")))
-    step = step.withColumn("_entry", first_match(F.col("history"), F.col("version")))
+    step = step.withColumn("_version", F.coalesce(F.col("version"), FIELDS["current_version"]()))
+    step = step.withColumn("_entry", first_match(F.col("_history"), F.col("_version")))
     if "files" in fields:
         panels = F.transform(
-            file_panels(F.col("_divs"), F.col("kinds")),
+            file_panels(F.col("_divs"), F.col("_kinds")),
             lambda f: F.struct(f["filename"], f["kind"], f["panel"], H.list_items(f["panel"]).alias("items")),
         )
         step = step.withColumn("_panels", panels)
-    found = {"current_version": F.col("current_version"), "history": F.col("history"), "kinds": F.col("kinds")}
-    return evaluated_once(step, [*carried, "version"], {**found, **{f: FIELDS[f]() for f in fields}})
+    return evaluated_once(step, carried, {"version": F.col("_version"), **{f: FIELDS[f]() for f in fields}})
 
 
 def evaluated_once(df: DataFrame, keep: list[str], columns: dict[str, Column]) -> DataFrame:

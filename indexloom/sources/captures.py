@@ -83,7 +83,8 @@ def collect_pages(
     current release from the main page, the others from version pages.
     """
     heads = extract.parse_pages(
-        not_challenged(mains).select("package", F.lit(None).cast("string").alias("version"), "html"), ()
+        not_challenged(mains).select("package", F.lit(None).cast("string").alias("version"), "html"),
+        ("current_version", "history"),
     ).where(F.size("history") > 0)
     heads = candidates.join(heads.select("package", "current_version", "history"), "package")
     chosen = heads.orderBy("rank").limit(n_packages)

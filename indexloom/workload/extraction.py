@@ -36,11 +36,11 @@ def _maintainer(spark, sf):
 
 def _current_version(spark, sf):
     pages = release_pages(spark, sf).withColumn("version", F.lit(None).cast("string"))
-    return extract.parse_pages(pages, ()).select("place", "package", "current_version")
+    return extract.parse_pages(pages, ("current_version",)).select("place", "package", "current_version")
 
 
 def _history(spark, sf):
-    parsed = extract.parse_pages(release_pages(spark, sf), ())
+    parsed = extract.parse_pages(release_pages(spark, sf), ("history",))
     return parsed.select("place", F.posexplode("history").alias("pos", "e")).select(
         "place", F.col("pos").cast("bigint").alias("pos"), "e.*"
     )
@@ -52,7 +52,7 @@ def _history_join(spark, sf):
 
 
 def _file_kind(spark, sf):
-    parsed = extract.parse_pages(release_pages(spark, sf), ())
+    parsed = extract.parse_pages(release_pages(spark, sf), ("kinds",))
     return parsed.select("version", F.explode("kinds").alias("k")).select("version", "k.filename", "k.kind")
 
 
