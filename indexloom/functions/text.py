@@ -72,8 +72,8 @@ def blank_to_null(text: Column) -> Column:
 
 
 def fold_case(text: Column) -> Column:
-    """Case-blind key. Lower, upper and lower again also joins pairs such as sharp s and ss."""
-    return F.lower(F.upper(F.lower(text)))
+    """Case-blind key: lower case, with sharp s, final sigma and long s folded as well."""
+    return F.replace(F.translate(F.lower(text), "\u03c2\u017f", "\u03c3s"), F.lit("\u00df"), F.lit("ss"))
 
 
 def parse_size(text: Column) -> Column:

@@ -35,13 +35,13 @@ def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int) -> DataFrame:
-    """First ``limit`` rows of each group, with their place ``pos`` from 1.
+    """First ``limit`` rows of each group.
 
     The rank filter is pushed below the shuffle, so at most ``limit`` rows per
     group leave each task.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("pos", F.row_number().over(window)).where(F.col("pos") <= limit)
+    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= limit).drop("_rank")
 
 
 def cap_history(
@@ -52,7 +52,7 @@ def cap_history(
     ``current`` holds (group, version), one row per group. The extra entry is
     found by its key, so the group is never ranked as a whole.
     """
-    top = top_per_group(history, [group], order, limit).drop("pos")
+    top = top_per_group(history, [group], order, limit)
     beyond = history.join(current, [group, version], "left_semi").join(
         top.select(group, version), [group, version], "left_anti"
     )
