@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-from indexloom.functions.text import blank_to_null, let, strip_space
+from indexloom.functions.text import let, non_blank, strip_space
 
 # Named character references that index pages use.
 NAMED_REFERENCES = {
@@ -42,11 +42,16 @@ def opening(tag: str = ANY_TAG, *classes: str, **attributes: str) -> str:
     return rf"<{tag}(?=[\s>/]){looks}[^>]*>"
 
 
+def opens(piece: Column, tag: str, *classes: str, **attributes: str) -> Column:
+    """Whether a piece starts with such an opening tag; only the tag itself is searched."""
+    pattern = opening(tag, *classes, **attributes)
+    return F.substring_index(piece, ">", 1).rlike("^" + pattern.removesuffix("[^>]*>"))
+
+
 def without_hidden(html: Column) -> Column:
     """Drop comments, scripts and styles, whose content is not markup."""
-    return F.regexp_replace(
-        html, r"(?is)<!--.*?-->|<script(?=[\s>]).*?</script\s*>|<style(?=[\s>]).*?</style\s*>", ""
-    )
+    # The second character is looked at first: most tags fail there.
+    return F.regexp_replace(html, r"(?s)<(?=[!sS])(?:!--.*?-->|(?i:(script|style)(?=[\s>]).*?</\1\s*>))", "")
 
 
 def decode_references(text: Column) -> Column:
@@ -62,9 +67,12 @@ def decode_references(text: Column) -> Column:
         named = F.coalesce(F.try_element_at(F.expr(_NAMED_MAP), ref), whole)
         return F.replace(acc, whole, F.when(ref.startswith("#"), char).otherwise(named))
 
-    refs = F.array_distinct(F.regexp_extract_all(F.regexp_replace(text, _AMPERSAND, ""), F.lit(_REFERENCE), 1))
-    decoded = F.regexp_replace(F.aggregate(refs, text, put), _AMPERSAND, "&")
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    def decode(raw: Column) -> Column:
+        refs = F.array_distinct(F.regexp_extract_all(F.regexp_replace(raw, _AMPERSAND, ""), F.lit(_REFERENCE), 1))
+        decoded = F.regexp_replace(F.aggregate(refs, raw, put), _AMPERSAND, "&")
+        return F.when(raw.contains("&"), decoded).otherwise(raw)
+
+    return let(text, decode)
 
 
 def bare_text(fragment: Column) -> Column:
@@ -104,7 +112,7 @@ def link_target(fragment: Column, **attributes: str) -> Column:
 
 def time_stamp(fragment: Column) -> Column:
     """The machine-readable datetime of the first time element; null if none."""
-    return blank_to_null(attribute(fragment, "datetime", "time"))
+    return non_blank(attribute(fragment, "datetime", "time"))
 
 
 def element_spans(pieces: Column, label_of: Callable[[Column], Column]) -> Column:
@@ -212,12 +220,12 @@ def after_label(item: Column, label: str) -> Column:
 
 def value_after(item: Column, label: str) -> Column:
     """Trimmed text of an item behind its label; null if empty or no item."""
-    return blank_to_null(strip_space(decode_references(after_label(item, label))))
+    return non_blank(strip_space(decode_references(after_label(item, label))))
 
 
 def first_line_after(item: Column, label: str) -> Column:
     """Like ``value_after`` but only up to the first line break behind the label."""
-    return blank_to_null(strip_space(decode_references(F.substring_index(after_label(item, label), "\n", 1))))
+    return non_blank(strip_space(decode_references(F.substring_index(after_label(item, label), "\n", 1))))
 
 
 def list_after_heading(fragment: Column, heading: str) -> Column:

@@ -71,6 +71,11 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
+def non_blank(text: Column) -> Column:
+    """``blank_to_null`` for a costly expression, which is evaluated once only."""
+    return F.get(F.filter(F.array(text), lambda t: t != ""), 0)
+
+
 def fold_case(text: Column) -> Column:
     """Case-blind key: lower case, with sharp s, final sigma and long s folded as well."""
     return F.replace(F.translate(F.lower(text), "\u03c2\u017f", "\u03c3s"), F.lit("\u00df"), F.lit("ss"))

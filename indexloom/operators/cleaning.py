@@ -117,10 +117,10 @@ def clean_entity(df: DataFrame, entity: str) -> Verdict:
     return judge(df, ENTITIES[entity].columns, entity)
 
 
-def backfill_parents(
+def missing_parents(
     parents: DataFrame, links: DataFrame, parent_key: str, link_key: str, order: Sequence[str]
 ) -> DataFrame:
-    """Parents plus one placeholder per linked name that has none, compared case-blind.
+    """One placeholder parent per linked name that has none, compared case-blind.
 
     The placeholder keeps the spelling seen first. Links are folded to one row
     per name before anything is joined.
@@ -129,9 +129,13 @@ def backfill_parents(
         F.min(F.struct(*order, link_key)).alias("_first")
     )
     known = parents.select(fold_case(F.col(parent_key)).alias("_key"))
-    missing = seen.join(known, "_key", "left_anti")
-    blank = [
-        F.col(f"_first.{link_key}").alias(c) if c == parent_key else F.lit(None).cast(parents.schema[c].dataType).alias(c)
-        for c in parents.columns
-    ]
-    return parents.unionByName(missing.select(*blank))
+    name = F.col(f"_first.{link_key}").alias(parent_key)
+    blank = {c: F.lit(None).cast(parents.schema[c].dataType).alias(c) for c in parents.columns}
+    return seen.join(known, "_key", "left_anti").select(*[name if c == parent_key else blank[c] for c in parents.columns])
+
+
+def backfill_parents(
+    parents: DataFrame, links: DataFrame, parent_key: str, link_key: str, order: Sequence[str]
+) -> DataFrame:
+    """Parents plus a placeholder for every linked name without one."""
+    return parents.unionByName(missing_parents(parents, links, parent_key, link_key, order))

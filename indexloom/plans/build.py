@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from indexloom.operators.checks import entity_duplicates
-from indexloom.operators.cleaning import Verdict, backfill_parents, clean_entity
+from indexloom.operators.cleaning import Verdict, backfill_parents, clean_entity, missing_parents
 from indexloom.operators.keys import LOAD_ORDER, drop_dangling, reference_violations
 from indexloom.operators.load import bad_timestamps, load_shape
 from indexloom.operators.ranking import distinct_rows, keep_first
@@ -81,13 +81,17 @@ def build(
 
 def run_report(raw: dict[str, DataFrame]) -> DataFrame:
     """Dropped rows, cut cells and placeholders of a run: (entity, outcome, reason, n)."""
-    clean, verdicts = clean_run(raw)
+    verdicts = {name: clean_entity(df, name) for name, df in raw.items()}
     lines: DataFrame | None = None
     for verdict in verdicts.values():
         lines = verdict.report if lines is None else lines.unionByName(verdict.report)
-    added = clean["maintainer"].count() - verdicts["maintainer"].valid.count()
-    extra = lines.sparkSession.range(1).select(
-        F.lit("maintainer").alias("entity"), F.lit("backfilled").alias("outcome"),
-        F.lit(None).cast("string").alias("reason"), F.lit(added).cast("bigint").alias("n"),
+    added = missing_parents(
+        verdicts["maintainer"].valid, verdicts["maintained_by"].valid, "username", "maintainer_username", []
+    )
+    extra = added.agg(F.count("*").alias("n")).where("n > 0")
+    return lines.unionByName(
+        extra.select(
+            F.lit("maintainer").alias("entity"), F.lit("backfilled").alias("outcome"),
+            F.lit(None).cast("string").alias("reason"), "n",
+        )
     )
-    return lines.unionByName(extra.where("n > 0"))

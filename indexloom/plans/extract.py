@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from indexloom.functions import html as H
-from indexloom.functions.text import blank_to_null, let, parse_size, strip_space
+from indexloom.functions.text import let, non_blank, parse_size, strip_space
 from indexloom.registry import ENTITIES
 
 # The texts and markers index pages carry.
@@ -39,18 +39,21 @@ _HISTORY = "array<struct<version:string,is_prerelease:boolean,yanked:boolean,yan
 def _page_label(piece: Column) -> Column:
     """Which region of the page a div opens; null for all other divs."""
 
-    def is_open(*classes: str, **attributes: str) -> Column:
-        return piece.rlike("^" + H.opening("div", *classes, **attributes))
-
-    return (
-        F.when(~piece.rlike(r"^<div[^>]*\s(class|id)\s*="), F.lit(None).cast("string"))
-        .when(is_open("sidebar-section", "verified"), "verified")
-        .when(is_open("sidebar-section", "unverified"), "unverified")
-        .when(is_open("package-header__right"), "header")
-        .when(is_open("project-description"), "description")
-        .when(is_open("release-timeline"), "timeline")
-        .when(is_open(id="files[\"']"), "files")
-    )
+    def region(tag: Column) -> Column:
+        def is_open(*classes: str, **attributes: str) -> Column:
+            return H.opens(tag, "div", *classes, **attributes)
+
+        return (
+            F.when(~tag.rlike(r"\s(class|id)\s*="), F.lit(None).cast("string"))
+            .when(is_open("sidebar-section", "verified"), "verified")
+            .when(is_open("sidebar-section", "unverified"), "unverified")
+            .when(is_open("package-header__right"), "header")
+            .when(is_open("project-description"), "description")
+            .when(is_open("release-timeline"), "timeline")
+            .when(is_open(id="files[\"']"), "files")
+        )
+
+    return let(F.substring_index(piece, ">", 1), region)
 
 
 def with_regions(pages: DataFrame) -> DataFrame:
@@ -93,36 +96,41 @@ def owner(verified: Column) -> Column:
 
 def current_version(name: Column) -> Column:
     """Last word of the page header; null when the header is empty."""
-    return blank_to_null(F.element_at(F.split(H.clean_text(name), r"\s+"), -1))
+    return non_blank(F.element_at(F.split(H.clean_text(name), r"\s+"), -1))
 
 
 def contact(own: Column, claimed: Column, label: str) -> Column:
     """struct(name, email, verified) of an Author or Maintainer line; the verified section wins."""
-    sure = H.item_with_strong(own, label)
-    line = F.coalesce(sure, H.item_with_strong(claimed, label))
-    return F.struct(
-        H.first_line_after(line, label).alias("name"),
-        blank_to_null(F.regexp_replace(H.link_target(line["html"], href="mailto:"), "^mailto:", "")).alias("email"),
-        sure.isNotNull().alias("verified"),
+    def of(line: Column, verified: Column) -> Column:
+        mail = F.regexp_replace(H.link_target(line["html"], href="mailto:"), "^mailto:", "")
+        return F.struct(
+            H.first_line_after(line, label).alias("name"), non_blank(mail).alias("email"), verified.alias("verified")
+        )
+
+    return let(
+        H.item_with_strong(own, label),
+        lambda sure: let(
+            F.coalesce(sure, H.item_with_strong(claimed, label)), lambda line: of(line, sure.isNotNull())
+        ),
     )
 
 
 def license_text(claimed: Column) -> Column:
     """The licence expression if its line is there, else the free licence line."""
-    spdx = H.item_with_strong(claimed, "License Expression:")
-    plain = H.item_with_strong(claimed, "License:")
-    return F.when(spdx.isNotNull(), H.first_line_after(spdx, "License Expression:")).otherwise(
-        H.first_line_after(plain, "License:")
+    plain = H.first_line_after(H.item_with_strong(claimed, "License:"), "License:")
+    return let(
+        H.item_with_strong(claimed, "License Expression:"),
+        lambda spdx: F.when(spdx.isNotNull(), H.first_line_after(spdx, "License Expression:")).otherwise(plain),
     )
 
 
 def requires_python(claimed: Column) -> Column:
     line = H.item_with_strong(claimed, "Requires:")
-    return blank_to_null(strip_space(F.regexp_replace(H.first_line_after(line, "Requires:"), "^Python", "")))
+    return non_blank(strip_space(F.regexp_replace(H.first_line_after(line, "Requires:"), "^Python", "")))
 
 
 def keywords(claimed: Column) -> Column:
-    tagged = F.filter(claimed, lambda i: i["html"].rlike("^" + H.opening("li", "tags")))
+    tagged = F.filter(claimed, lambda i: H.opens(i["html"], "li", "tags"))
     html = F.array_join(F.transform(tagged, lambda i: i["html"]), "")
     words = F.transform(
         H.all_leaves(html, "span", "package-keyword"), lambda s: F.btrim(H.clean_text(s), F.lit(" \n\t\r,"))
@@ -138,20 +146,21 @@ def extras(claimed: Column) -> Column:
 def history(timeline: Column) -> Column:
     """Release history in page order."""
     blocks = F.split(timeline, rf"(?={H.opening('div', 'release')})")
-    items = F.filter(blocks, lambda b: b.rlike("^" + H.opening("div", "release")))
+    items = F.filter(blocks, lambda b: H.opens(b, "div", "release"))
 
     def badge(version: Column, kind: str, text: str) -> Column:
         return version.rlike(rf"(?s){H.opening('span', kind)}\s*{text}\s*</span")
 
     def entry(item: Column) -> Column:
-        cell = H.first_leaf(item, H.ANY_TAG, "release__version")
-        reason = H.clean_text(H.first_leaf(item, H.ANY_TAG, "release__yanked-reason"))
-        yanked = badge(cell, "badge--danger", "yanked")
-        return F.struct(
-            H.clean_text(F.regexp_replace(cell, r"(?s)<span(?=[\s>]).*?</span\s*>", "")).alias("version"),
-            badge(cell, "badge--warning", "pre-release").alias("is_prerelease"),
-            yanked.alias("yanked"),
-            F.when(yanked, blank_to_null(reason)).alias("yanked_reason"),
+        reason = non_blank(H.clean_text(H.first_leaf(item, H.ANY_TAG, "release__yanked-reason")))
+        return let(
+            H.first_leaf(item, H.ANY_TAG, "release__version"),
+            lambda cell: F.struct(
+                H.clean_text(F.regexp_replace(cell, r"(?s)<span(?=[\s>]).*?</span\s*>", "")).alias("version"),
+                badge(cell, "badge--warning", "pre-release").alias("is_prerelease"),
+                badge(cell, "badge--danger", "yanked").alias("yanked"),
+                F.when(badge(cell, "badge--danger", "yanked"), reason).alias("yanked_reason"),
+            ),
         )
 
     return F.transform(items, entry).cast(_HISTORY)
@@ -168,20 +177,33 @@ def file_kinds(files: Column) -> Column:
         F.lit("").alias("kind"), F.array().cast("array<struct<filename:string,kind:string>>").alias("found")
     )
 
-    def step(s: Column, part: Column) -> Column:
+    def heading_kind(part: Column) -> Column:
         heading = H.bare_text(F.regexp_extract(part, r"(?s)^<h3[^>]*>(.*?)</h3\s*>", 1))
-        kind = F.when(heading.isin(*SDIST_HEADINGS), "sdist").when(heading.isin(*WHEEL_HEADINGS), "wheel")
+        return let(
+            heading, lambda h: F.when(h.isin(*SDIST_HEADINGS), "sdist").when(h.isin(*WHEEL_HEADINGS), "wheel")
+        )
+
+    def listed(part: Column) -> Column:
         name = H.clean_text(H.first_leaf(part, "a", href=FILE_HOST.replace(".", r"\.")))
-        is_file = part.rlike("^" + H.opening("div", "file")) & (s["kind"] != "") & (name != "")
-        row = F.struct(name.alias("filename"), s["kind"].alias("kind"))
+        return F.when(H.opens(part, "div", "file"), non_blank(name))
+
+    parts = F.transform(
+        marks,
+        lambda part: F.struct(
+            F.when(part.startswith("<h3"), heading_kind(part)).alias("kind"), listed(part).alias("filename")
+        ),
+    )
+
+    def step(s: Column, part: Column) -> Column:
+        row = F.struct(part["filename"].alias("filename"), s["kind"].alias("kind"))
+        others = F.filter(s["found"], lambda f: f["filename"] != part["filename"])
+        is_file = part["filename"].isNotNull() & (s["kind"] != "")
         return F.struct(
-            F.coalesce(F.when(part.startswith("<h3"), kind), s["kind"]).alias("kind"),
-            F.when(is_file, F.array_append(F.filter(s["found"], lambda f: f["filename"] != name), row))
-            .otherwise(s["found"])
-            .alias("found"),
+            F.coalesce(part["kind"], s["kind"]).alias("kind"),
+            F.when(is_file, F.array_append(others, row)).otherwise(s["found"]).alias("found"),
         )
 
-    return F.aggregate(marks, zero, step, lambda s: s["found"])
+    return F.aggregate(parts, zero, step, lambda s: s["found"])
 
 
 def hash_rows(panel: Column) -> Column:
@@ -211,14 +233,14 @@ def attestation(panel: Column, items: Column) -> Column:
     fields = list(PROVENANCE_LABELS)
     found = F.transform(
         F.array(*[H.first_leaf(H.item_with_prefix(items, PROVENANCE_LABELS[f])["html"], "code") for f in fields]),
-        lambda html: blank_to_null(H.clean_text(html)),
+        lambda html: non_blank(H.clean_text(html)),
     )
     number = F.try_element_at(indexes, F.lit(-1)).try_cast("bigint")
     row = lambda codes: F.struct(
         F.coalesce(number, F.lit(0).cast("bigint")).alias("sigstore_log_index"),
         H.time_stamp(H.item_with_prefix(items, "Sigstore integration time:")["html"]).alias("integration_time"),
         *[
-            (blank_to_null(F.substring_index(F.get(codes, n), "@", 1)) if f == "source_repo" else F.get(codes, n)).alias(f)
+            (non_blank(F.substring_index(F.get(codes, n), "@", 1)) if f == "source_repo" else F.get(codes, n)).alias(f)
             for n, f in enumerate(fields)
         ],
     )
@@ -228,8 +250,9 @@ def attestation(panel: Column, items: Column) -> Column:
 def file_panels(divs: Column, kinds: Column) -> Column:
     """Detail blocks whose id is a listed filename: array of (filename, kind, panel)."""
     def label(piece: Column) -> Column:
-        name = F.regexp_extract(piece, r"^<div(?=\s)[^>]*?\sid\s*=\s*[\"']([^\"']+)", 1)
-        return F.when((name != "") & F.exists(kinds, lambda k: k["filename"] == name), name)
+        tag = F.substring_index(piece, ">", 1)
+        name = F.regexp_extract(tag, r"^<div(?=\s)[^>]*?\sid\s*=\s*[\"']([^\"']+)", 1)
+        return let(name, lambda n: F.when((n != "") & F.exists(kinds, lambda k: k["filename"] == n), n))
 
     spans = F.when(F.size(kinds) > 0, H.element_spans(divs, label)).otherwise(
         F.array().cast("array<struct<label:string,first:int,size:int>>")
@@ -279,8 +302,7 @@ def project_links(verified: Column, unverified: Column) -> Column:
 
 def classifiers(tags: Column) -> Column:
     """First classifier list: array of (category, value)."""
-    opens = "^" + H.opening("ul", "sidebar-section__classifiers")
-    listing = F.get(H.elements(tags, "ul", lambda p: p.rlike(opens)), 0)
+    listing = F.get(H.elements(tags, "ul", lambda p: H.opens(p, "ul", "sidebar-section__classifiers")), 0)
     groups = H.elements(F.coalesce(H.inner(listing), F.lit("")), "li", lambda p: F.lit(True))
 
     def group(g: Column) -> Column:
@@ -302,8 +324,7 @@ def maintainers(verified: Column) -> Column:
 
 def joined_at(html: Column) -> Column:
     """Join date of a profile page: first block with the calendar icon; null if it shows none."""
-    opens = "^" + H.opening("div", "author-profile__metadiv")
-    blocks = H.elements(H.without_hidden(html), "div", lambda p: p.rlike(opens))
+    blocks = H.elements(H.without_hidden(html), "div", lambda p: H.opens(p, "div", "author-profile__metadiv"))
     dated = F.get(F.filter(blocks, lambda b: b.rlike(H.opening("i", "fa-calendar-alt"))), 0)
     return H.time_stamp(dated)
 
@@ -323,10 +344,10 @@ FIELDS = {
     "is_prerelease": lambda: F.coalesce(F.col("_entry")["is_prerelease"], F.lit(False)),
     "yanked": lambda: F.coalesce(F.col("_entry")["yanked"], F.lit(False)),
     "yanked_reason": lambda: F.col("_entry")["yanked_reason"],
-    "summary": lambda: blank_to_null(H.clean_text(F.col("_summary"))),
+    "summary": lambda: non_blank(H.clean_text(F.col("_summary"))),
     "license": lambda: license_text(F.col("_claimed")),
     "requires_python": lambda: requires_python(F.col("_claimed")),
-    "description": lambda: blank_to_null(strip_space(H.inner(F.col("_description")))),
+    "description": lambda: non_blank(strip_space(H.inner(F.col("_description")))),
     "author": lambda: contact(F.col("_own"), F.col("_claimed"), "Author:"),
     "contact": lambda: contact(F.col("_own"), F.col("_claimed"), "Maintainer:"),
     "keywords": lambda: keywords(F.col("_claimed")),
