@@ -87,8 +87,10 @@ def clean_text(fragment: Column) -> Column:
 
 def first_leaf(fragment: Column, tag: str, *classes: str, **attributes: str) -> Column:
     """Inner HTML of the first such element, for elements that never contain their own tag; '' if none."""
-    pattern = opening(f"({tag})", *classes, **attributes)
-    return F.regexp_extract(fragment, rf"(?s){pattern}(.*?)</\1\s*>", 2)
+    if tag == ANY_TAG:
+        pattern = opening(f"({tag})", *classes, **attributes)
+        return F.regexp_extract(fragment, rf"(?s){pattern}(.*?)</\1\s*>", 2)
+    return F.regexp_extract(fragment, rf"(?s){opening(tag, *classes, **attributes)}(.*?)</{tag}\s*>", 1)
 
 
 def all_leaves(fragment: Column, tag: str, *classes: str, **attributes: str) -> Column:

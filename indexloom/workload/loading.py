@@ -316,7 +316,7 @@ def _spdx(spark, sf):
 
 
 def _read_entity(spark, sf):
-    """Write one JSON array file per order status, read it back as a release entity."""
+    """Write releases as JSON lines, read them back as entity text fields."""
     rows = view(spark, sf, "release").where("requires_python is not null")
     path = scratch_path(spark, "entity")
     runs.write_run({"release": rows}, path, "run_1", "json")
