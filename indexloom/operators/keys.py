@@ -122,8 +122,10 @@ def drop_dangling(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
                 *[F.col(p).alias(c) for p, c in zip(ENTITIES[ref.parent].key, keys)]
             )
             if ref.optional:
-                missing = df.where(F.col(keys[0]).isNotNull()).join(parent, keys, "left_semi")
-                df = missing.unionByName(df.where(F.col(keys[0]).isNull()))
+                named = F.col(keys[0]).isNotNull() & (F.col(keys[0]) != "")
+                df = df.where(named).join(parent, keys, "left_semi").unionByName(
+                    df.where(~F.coalesce(named, F.lit(False)))
+                )
             else:
                 df = df.join(parent, keys, "left_semi")
         kept[name] = df

@@ -35,7 +35,7 @@ def extract_run(pages: DataFrame, profiles: DataFrame) -> dict[str, DataFrame]:
             frames[name] = keep_first(rows, entity.key, ORDER).select(*entity.names)
         else:
             frames[name] = entity_rows(parsed, name)
-    frames["maintainer"] = profiled_maintainers(frames["maintained_by"], profiles, [])
+    frames["maintainer"] = profiled_maintainers(frames["maintained_by"], profiles)
     return frames
 
 

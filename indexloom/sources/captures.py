@@ -63,7 +63,7 @@ def skipped_versions(plan: DataFrame, good_pages: DataFrame) -> DataFrame:
     return plan.join(good_pages.select("package", "version"), ["package", "version"], "left_anti")
 
 
-def profiled_maintainers(links: DataFrame, profiles: DataFrame, order: list[str]) -> DataFrame:
+def profiled_maintainers(links: DataFrame, profiles: DataFrame) -> DataFrame:
     """Maintainers with a usable profile page: (username, joined_at). A failed profile gives no row.
 
     Names shrink to distinct ones before they meet the profile pages.

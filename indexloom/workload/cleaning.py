@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from indexloom.functions.text import fold_case
 from indexloom.operators.cleaning import backfill_parents, clean_entity, judge
 from indexloom.operators.ranking import cap_history, distinct_rows, first_successful, keep_first
 from indexloom.registry import LIFECYCLE, Col
 from indexloom.sources.captures import candidate_names, rejected_pages, skipped_versions
-from indexloom.workload.roles import Query, profile_pages, sql, table, view, view_sql
+from indexloom.workload.roles import Query, plain, profile_pages, sql, table
 
 # ------------------------------------------------------------------ dedup and selection
 
@@ -122,12 +121,6 @@ _RAW = {
 }
 
 
-def _plain(text: str) -> str:
-    from indexloom.workload.roles import plain
-
-    return plain(text)
-
-
 def _clean(entity: str):
     return lambda spark, sf: clean_entity(sql(spark, sf, _RAW[entity]), entity).valid
 
@@ -158,11 +151,11 @@ def _cut(column: str, limit: int) -> str:
 
 _SQL_PACKAGE = f"""
 select name, nullif(lifecycle_status, '') as lifecycle_status, nullif(organization_owner, '') as organization_owner
-from ({_plain(_RAW_PACKAGE)}) r where {_PACKAGE_REASON} is null"""
+from ({plain(_RAW_PACKAGE)}) r where {_PACKAGE_REASON} is null"""
 _SQL_RELEASE = f"""
 select package_name, version, created, is_prerelease, yanked, nullif(lifecycle_status, '') as lifecycle_status,
        yanked_reason, {_cut('summary', 512)}, nullif(license, '') as license, requires_python
-from ({_plain(_RAW_RELEASE)}) r where {_RELEASE_REASON} is null"""
+from ({plain(_RAW_RELEASE)}) r where {_RELEASE_REASON} is null"""
 
 
 def _clean_missing(spark, sf):
@@ -207,10 +200,10 @@ def _rejects(spark, sf):
 def _report_sql(entity: str, reason: str, cut: str) -> str:
     return f"""
     select '{entity}' as entity, 'dropped' as outcome, {reason} as reason, count(*) as n
-    from ({_plain(_RAW[entity])}) r where {reason} is not null group by 3
+    from ({plain(_RAW[entity])}) r where {reason} is not null group by 3
     union all
     select * from (select '{entity}', 'truncated', cast(null as varchar), cast(sum({cut}) as bigint) as n
-                   from ({_plain(_RAW[entity])}) r) t where n > 0"""
+                   from ({plain(_RAW[entity])}) r) t where n > 0"""
 
 
 _MAINT = "select 'Own' || cast(c_custkey as string) as username, c_mktsegment as joined_at from {customer} where c_acctbal >= 0"
@@ -228,7 +221,7 @@ def _backfill(spark, sf):
 def _ranked(source: str, key: str, order: str, columns: str) -> str:
     return f"""
     select {columns} from (select *, row_number() over (partition by {key} order by {order}) as rn
-                           from ({_plain(source)}) s) t where rn = 1"""
+                           from ({plain(source)}) s) t where rn = 1"""
 
 
 QUERIES = {
@@ -297,12 +290,12 @@ QUERIES = {
         _clean_missing,
         f"""
         select name, nullif(lifecycle_status, '') as lifecycle_status, nullif(organization_owner, '') as organization_owner
-        from ({_plain(_RAW_PACKAGE)}) r""",
+        from ({plain(_RAW_PACKAGE)}) r""",
     ),
     "clean_required": Query(
         _clean_required,
         f"""
-        select version, created, yanked from ({_plain(_RAW_RELEASE)}) r where created <> '' and yanked is not null""",
+        select version, created, yanked from ({plain(_RAW_RELEASE)}) r where created <> '' and yanked is not null""",
     ),
     "clean_enum": Query(
         _clean_enum, "select o_orderkey, o_orderstatus from orders where o_orderstatus in ('O', 'F')"
@@ -317,7 +310,7 @@ QUERIES = {
         _rejects,
         f"""
         select 'release' as entity, {_RELEASE_REASON} as reason, version
-        from ({_plain(_RAW_RELEASE)}) r where {_RELEASE_REASON} is not null""",
+        from ({plain(_RAW_RELEASE)}) r where {_RELEASE_REASON} is not null""",
     ),
     "clean_report": Query(
         _report,
@@ -336,7 +329,7 @@ QUERIES = {
     "backfill_parent": Query(
         _backfill,
         f"""
-        with m as ({_plain(_MAINT)}), l as ({_plain(_LINKS)})
+        with m as ({plain(_MAINT)}), l as ({plain(_LINKS)})
         select username, joined_at from m
         union all
         select maintainer_username, null from (

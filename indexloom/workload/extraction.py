@@ -10,7 +10,7 @@ from indexloom.operators.ranking import distinct_rows, keep_first
 from indexloom.plans import extract
 from indexloom.registry import ENTITIES
 from indexloom.sources.captures import profiled_maintainers
-from indexloom.workload.roles import Query, plain, profile_pages, release_pages, sql, table, view, view_sql
+from indexloom.workload.roles import Query, profile_pages, release_pages, table, view_sql
 
 ORDER = ["rank", "place"]
 
@@ -31,7 +31,7 @@ def _entity(name: str):
 
 def _maintainer(spark, sf):
     links = extract.entity_rows(extract.parse_pages(release_pages(spark, sf), ("maintainers",)), "maintained_by")
-    return profiled_maintainers(links, profile_pages(spark, sf), [])
+    return profiled_maintainers(links, profile_pages(spark, sf))
 
 
 def _current_version(spark, sf):

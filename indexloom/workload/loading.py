@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from indexloom.functions import text as X
 from indexloom.operators import checks
-from indexloom.operators.keys import LOAD_ORDER, dense_ids, natural_id, reference_violations, resolve, unresolved
-from indexloom.operators.load import bad_timestamps, load_shape
+from indexloom.operators.keys import dense_ids, natural_id, reference_violations, resolve, unresolved
+from indexloom.operators.load import load_shape
 from indexloom.registry import ENTITIES, Col
 from indexloom.session import scratch_path
 from indexloom.sources import publish, runs
-from indexloom.workload.roles import Query, frames, micros, plain, sql, table, uid, view, view_sql
+from indexloom.workload.roles import ENTITY_VIEWS, Query, frames, micros, plain, sql, table, uid, view, view_sql
 
 # ------------------------------------------------------------------ keys and references
 
@@ -41,11 +41,7 @@ _PARENTS = {
 
 
 def _parent(spark, sf, name):
-    text = _PARENTS[name]
-    inner_name = "{" + name + "}"
-    from indexloom.workload import roles
-
-    return sql(spark, sf, text.replace(inner_name, roles.ENTITY_VIEWS[name]))
+    return sql(spark, sf, _PARENTS[name].replace("{" + name + "}", ENTITY_VIEWS[name]))
 
 
 def _parent_sql(name):
@@ -75,9 +71,6 @@ def _resolved(child, ref_columns, parent, id_column, keep):
     return Query(_resolve(*args), _resolve_sql(*args))
 
 
-_VIOLATION_FRAMES = ("package", "release", "release_file", "file_hash", "maintained_by", "tagged_with")
-
-
 def _violations(spark, sf):
     have = frames(spark, sf, "file_hash", "maintained_by", "tagged_with", "release_extra", "package")
     for name in _PARENTS:

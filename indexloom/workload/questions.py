@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from indexloom.plans import queries as q
-from indexloom.workload.roles import Query, plain, question_tables, view, view_sql
+from indexloom.workload.roles import Query, question_tables, view, view_sql
 
 V = {n: f"({view_sql('q_' + n)})" for n in (
     "organization", "package", "release", "maintainer", "maintained_by", "release_file", "file_hash", "linked_package", "link",

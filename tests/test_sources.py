@@ -149,7 +149,7 @@ def test_profiles(spark):
         [("a", profile(True)), ("b", profile(False)), ("c", "<title>Client Challenge</title>"), ("z", profile(True))],
         "username string, html string",
     )
-    got = {r.username: r.joined_at for r in captures.profiled_maintainers(links, pages, []).collect()}
+    got = {r.username: r.joined_at for r in captures.profiled_maintainers(links, pages).collect()}
     assert got == {"a": "2019-03-04T05:06:07+0000", "b": None}
 
 
