@@ -78,3 +78,33 @@ def test_label_in_both_sections_is_a_duplicate_key(spark):
     clean, _ = clean_run(raw)
     got = [(r.entity, r.key) for r in entity_duplicates(clean).collect()]
     assert got == [("project_link", '["p","2.0","home"]')]
+
+
+def test_entity_files_to_published_tables(spark, tmp_path):
+    import json
+
+    from indexloom.registry import ENTITIES
+    from indexloom.sources import runs
+
+    made = {n: [] for n in ENTITIES}
+    made["package"] = [{"name": "good"}, {"name": "bad", "lifecycle_status": "lost"}]
+    made["release"] = [{"package_name": "good", "version": "1.0", "created": "2024-05-06T07:08:09+0000",
+                        "is_prerelease": False, "yanked": False, "summary": "s" * 520}]
+    made["release_file"] = [{"package_name": "good", "version": "1.0", "filename": "g.whl", "path": "/g", "size": 12,
+                             "upload_time": "2024-05-06T07:08:09.5Z", "is_trusted_publishing": True, "packagetype": "wheel"}]
+    made["maintained_by"] = [{"package_name": "good", "maintainer_username": "orphan"}]
+    made["maintainer"] = [{"username": "known", "joined_at": ""}]
+    for run, keep in (("run_20240101T000000", 0), ("run_20240601T000000", 1)):
+        (tmp_path / run).mkdir()
+        for name, rows in made.items():
+            (tmp_path / run / f"{name}.json").write_text(json.dumps(rows * keep), encoding="utf-8")
+    latest = runs.latest_run(spark, str(tmp_path))
+    assert latest == "run_20240601T000000"
+    clean, verdicts = clean_run(runs.read_run(spark, f"{tmp_path}/{latest}"))
+    assert [r.reason for r in verdicts["package"].rejected.collect()] == ["lifecycle_status not allowed"]
+    root = scratch_path(spark, "store")
+    counts = load_run(clean, root, latest)
+    assert (counts["package"], counts["maintainer"], counts["maintained_by"]) == (1, 2, 1)
+    release = read_published(spark, root, "release").first()
+    assert release.summary == "s" * 509 + "..."
+    assert read_published(spark, root, "release_file").first().size == 12
