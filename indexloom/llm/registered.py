@@ -1,6 +1,6 @@
 """All queries of the subpackage by name: (function, SQL or None)."""
 
-from indexloom.llm import url_filters
+from indexloom.llm import byte_bpe, mixing, url_filters
 
-MODULES = (url_filters,)
+MODULES = (url_filters, byte_bpe, mixing)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
