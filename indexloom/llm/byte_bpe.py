@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.llm.common import table, text_bytes, text_slices
+from indexloom.llm.common import map_arrow, table, text_bytes, text_slices, widened
 
 #: Pieces whose ids a worker remembers.
 CACHE = 1 << 19
@@ -275,16 +275,17 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """
     lines = docs.sparkSession.sparkContext.broadcast(_load(path))
     kept = docs.drop(*(c for c in ("ids", "offsets") if c != text))
+    carried = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(lines.value)
         for part in text_slices(batches, "_bpe_text"):
             ids, offsets = tokenizer.encode(part.column("_bpe_text"))
-            columns = [part.column(c) for c in kept.columns] + [ids, offsets]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept.columns, "ids", "offsets"])
+            columns = [part.column(c) for c in carried] + [ids, offsets]
+            yield pa.RecordBatch.from_arrays(columns, names=[*carried, "ids", "offsets"])
 
-    schema = kept.schema.add("ids", "array<int>").add("offsets", "array<int>")
-    return kept.withColumn("_bpe_text", F.col(text)).mapInArrow(run, schema)
+    schema = widened(kept, "ids array<int>, offsets array<int>")
+    return map_arrow(kept.withColumn("_bpe_text", F.col(text)), run, schema)
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids", rows: int = 256) -> DataFrame:
@@ -300,8 +301,8 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", rows: int = 256) -> D
                 decoded = tokenizer.decode(part.column(ids))
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [decoded], names=[*kept, "decoded"])
 
-    schema = tokens.select(*kept).schema.add("decoded", "binary")
-    return tokens.mapInArrow(run, schema)
+    schema = widened(tokens.select(*kept), "decoded binary")
+    return map_arrow(tokens, run, schema)
 
 
 def op8_byte_bpe(spark, sf_dir):

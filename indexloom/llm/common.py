@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word is a run of anything but these six characters.
 SPACES = " \t\n\x0b\x0c\r"
@@ -41,6 +44,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, with this package's code sent to the workers first."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).parents[1]
+        code = Path(tempfile.mkdtemp(prefix="indexloom-code-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(code, "w") as archive:
+            for source in package.rglob("*.py"):
+                archive.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(code))
+        _SHIPPED.add(context.applicationId)
+    return df.mapInArrow(run, schema)
+
+
+def widened(df: DataFrame, ddl: str) -> T.StructType:
+    """The schema of ``df`` and the fields of ``ddl``; all may be null."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in (*df.schema.fields, *T.StructType.fromDDL(ddl).fields)])
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
