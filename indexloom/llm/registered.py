@@ -1,6 +1,6 @@
 """All queries of the subpackage by name: (function, SQL or None)."""
 
-from indexloom.llm import byte_bpe, mixing, quality, toxicity, url_filters
+from indexloom.llm import ann, byte_bpe, mixing, near_dup, quality, toxicity, url_filters
 
-MODULES = (url_filters, byte_bpe, mixing, quality, toxicity)
+MODULES = (ann, near_dup, quality, url_filters, toxicity, byte_bpe, mixing)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
