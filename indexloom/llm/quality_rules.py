@@ -26,7 +26,7 @@ WINDOW, MIN_WORDS, MAX_REPEAT = 5, 10, 20
 SYMBOLS = "#*$%&|<>"
 SUPPORT, STEPS, PRIOR_ROWS = 0.75, 3, 20
 #: Squared distance beyond which a document is an outlier, and the median of chi-squared with as many degrees as statistics.
-CUTOFF, MEDIAN = 150.0, 4.351
+CUTOFF, MEDIAN = 30.0, 4.351
 UNIT = 1000
 #: Least standard deviation of each statistic, in its own unit.
 VECTOR = {"word_len": 0.35, "symbols": 0.10, "points": 0.06, "upper": 0.05, "dup_lines": 0.15}
