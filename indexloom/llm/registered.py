@@ -1,6 +1,6 @@
 """All queries of the subpackage by name: (function, SQL or None)."""
 
-from indexloom.llm import ann, byte_bpe, mixing, near_dup, quality, quality_rules, toxicity, url_filters
+from indexloom.llm import ann, byte_bpe, mixing, near_dup, quality, quality_rules, suffix_dedup, toxicity, url_filters
 
-MODULES = (ann, near_dup, quality, quality_rules, url_filters, toxicity, byte_bpe, mixing)
+MODULES = (ann, suffix_dedup, near_dup, quality, quality_rules, url_filters, toxicity, byte_bpe, mixing)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
