@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", max_positive: in
             )
 
     matrix = map_arrow(sample.select("y", "text"), occurrences, "y int, cols array<int>, vals array<int>")
-    matrix = matrix.orderBy("y", "cols", "vals").collect()
+    matrix = sorted(matrix.collect(), key=lambda r: (r.y, r.cols, r.vals))  # the fit adds up in one order
     rows = np.repeat(np.arange(len(matrix)), [len(r.cols) for r in matrix])
     cols = np.fromiter((c for r in matrix for c in r.cols), np.int64)
     vals = np.fromiter((v for r in matrix for v in r.vals), np.float64)
