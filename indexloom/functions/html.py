@@ -8,6 +8,7 @@ contain themselves (a, code, time, h3 ...) are matched by pattern.
 
 from __future__ import annotations
 
+import html.entities
 import re
 from collections.abc import Callable
 
@@ -15,20 +16,18 @@ from pyspark.sql import Column, functions as F
 
 from indexloom.functions.text import let, non_blank, strip_space
 
-# Named character references that index pages use.
-NAMED_REFERENCES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\xa0", "copy": "©",
-    "reg": "®", "trade": "™", "hellip": "…", "ndash": "–", "mdash": "—",
-    "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "bull": "•",
-    "middot": "·", "laquo": "«", "raquo": "»", "times": "×",
-}
+# All named character references with their closing semicolon, as one text in which a name
+# is found without a map literal of thousands of entries: start mark, name, end mark, characters.
+_START, _END = "\x02", "\x03"
+_NAMED = _START + _START.join(
+    f"{name[:-1]}{_END}{value}" for name, value in html.entities.html5.items() if name.endswith(";") and name != "amp;"
+) + _START
 
 ANY_TAG = r"[A-Za-z][A-Za-z0-9]*"
 
 
-_REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z]+);"
-_AMPERSAND = r"&amp;|&#0?38;|&#[xX]26;"
-_NAMED_MAP = "map(" + ", ".join(f"'{k}', '{v}'" for k, v in NAMED_REFERENCES.items() if v != "'") + ", 'apos', '\\'')"
+_REFERENCE = r"&(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
+_AMPERSAND = r"&(?:amp|AMP|#0*38|#[xX]0*26);"
 
 
 def opening(tag: str = ANY_TAG, *classes: str, **attributes: str) -> str:
@@ -58,13 +57,16 @@ def decode_references(text: Column) -> Column:
     """Named and numeric character references; the ampersand itself goes last."""
 
     def put(acc: Column, ref: Column) -> Column:
-        digits = ref.substr(F.lit(2), F.lit(8))
-        code = F.when(ref.rlike("^#[xX]"), F.conv(ref.substr(F.lit(3), F.lit(8)), 16, 10)).otherwise(digits)
+        # Leading zeros are legal; more than eight digits are beyond any character.
+        digits = F.substring(F.regexp_replace(ref, "^#[xX]?0*", ""), 1, 9)
+        code = F.when(ref.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
         code = code.try_cast("bigint")
         legal = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(F.when(legal, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
         whole = F.concat(F.lit("&"), ref, F.lit(";"))
-        named = F.coalesce(F.try_element_at(F.expr(_NAMED_MAP), ref), whole)
+        entry = F.concat(F.lit(_START), ref, F.lit(_END))
+        value = F.substring_index(F.call_function("substring_index", F.lit(_NAMED), entry, F.lit(-1)), _START, 1)
+        named = F.when(F.instr(F.lit(_NAMED), entry) > 0, value).otherwise(whole)
         return F.replace(acc, whole, F.when(ref.startswith("#"), char).otherwise(named))
 
     def decode(raw: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -90,7 +90,7 @@ def parse_size(text: Column) -> Column:
         factor = F.coalesce(F.try_element_at(units, F.get(words, 1)), F.lit(1))
         return (number * factor).try_cast("bigint")
 
-    return F.coalesce(let(F.split(strip_space(text), r"\s+"), size), F.lit(0).cast("bigint"))
+    return F.coalesce(let(F.split(strip_space(text), f"[{WHITESPACE}]+"), size), F.lit(0).cast("bigint"))
 
 
 def parse_timestamp(text: Column) -> Column:
@@ -108,19 +108,26 @@ def package_type(filename: Column) -> Column:
 
 
 def is_valid_requires_python(spec: Column) -> Column:
-    """True when every comma-separated clause is a PEP 440 specifier; null stays null."""
-    return F.forall(F.split(spec, ","), lambda clause: clause.rlike(_CLAUSE))
+    """True when every comma-separated clause is a PEP 440 specifier; null stays null.
+
+    Blank clauses, as a trailing comma leaves them, are passed over as installers do.
+    """
+    some = strip_space(F.translate(spec, ",", "")) != ""
+    return some & F.forall(F.split(spec, ","), lambda clause: clause.rlike(_CLAUSE) | (strip_space(clause) == ""))
 
 
-def is_valid_spdx_license(expression: Column) -> Column:
-    """True when the text is a well-formed SPDX expression over known identifiers.
+def is_valid_spdx_license(
+    expression: Column, ids: Sequence[str] = SPDX_IDS, exception_ids: Sequence[str] = SPDX_EXCEPTIONS
+) -> Column:
+    """True when the text is a well-formed SPDX expression over the given identifiers.
 
-    Identifiers are replaced by one-letter marks (L licence, E exception, ? unknown),
-    then innermost groups are folded until one L is left; nesting up to 8 groups deep.
+    Identifiers become one-letter marks (L licence, E exception, ? unknown); one pass
+    over the marks follows what may come next and how deep the brackets are, so they nest freely.
+    The default identifiers are the common ones; pass the whole published list to check against it.
     """
     tokens = F.regexp_extract_all(expression, F.lit(r"([()]|[^\s()]+)"), 1)
-    known = F.array(*[F.lit(i.lower()) for i in SPDX_IDS])
-    exceptions = F.array(*[F.lit(i.lower()) for i in SPDX_EXCEPTIONS])
+    known = F.array(*[F.lit(i.lower()) for i in ids])
+    exceptions = F.array(*[F.lit(i.lower()) for i in exception_ids])
 
     def mark(token: Column) -> Column:
         bare = F.lower(F.regexp_replace(token, r"\+$", ""))
@@ -133,7 +140,18 @@ def is_valid_spdx_license(expression: Column) -> Column:
             .otherwise(F.lit("?"))
         )
 
-    shape = F.regexp_replace(F.array_join(F.transform(tokens, mark), ""), r"L\+E", "L")
-    for _ in range(9):
-        shape = F.regexp_replace(F.regexp_replace(shape, r"L(&L)+", "L"), r"\(L\)", "L")
-    return shape == "L"
+    def follow(acc: Column, m: Column) -> Column:
+        """``state``: o operand awaited, x exception awaited, l after a licence, d after anything closed, ? wrong."""
+        state, depth = acc["state"], acc["depth"]
+        step = (
+            F.when((state == "o") & (m == "L"), "l").when((state == "o") & (m == "("), "o")
+            .when((state == "x") & (m == "E"), "d")
+            .when((state == "l") & (m == "+"), "x")
+            .when(state.isin("l", "d") & (m == "&"), "o")
+            .when(state.isin("l", "d") & (m == ")") & (depth > 0), "d").otherwise("?")
+        )
+        deeper = depth + F.when(m == "(", 1).when(m == ")", -1).otherwise(0)
+        return F.struct(step.alias("state"), deeper.alias("depth"))
+
+    start = F.struct(F.lit("o").alias("state"), F.lit(0).alias("depth"))
+    return F.aggregate(F.transform(tokens, mark), start, follow, lambda end: end["state"].isin("l", "d") & (end["depth"] == 0))

@@ -117,17 +117,20 @@ def drop_dangling(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     for name in LOAD_ORDER:
         df = frames[name]
         for ref in ENTITIES[name].refs:
-            keys = list(ref.columns)
+            first = ref.columns[0]
+            keys = [f"_k{n}" for n in range(len(ref.columns))]
+            folded = ENTITIES[ref.parent].folded
+            fold = [fold_case if p in folded else (lambda c: c) for p in ENTITIES[ref.parent].key]
             parent = kept[ref.parent].select(
-                *[F.col(p).alias(c) for p, c in zip(ENTITIES[ref.parent].key, keys)]
+                *[f(F.col(p)).alias(k) for f, p, k in zip(fold, ENTITIES[ref.parent].key, keys)]
             )
+            keyed = df.select("*", *[f(F.col(c)).alias(k) for f, c, k in zip(fold, ref.columns, keys)])
+            found = keyed.join(parent, keys, "left_semi").select(*df.columns)
             if ref.optional:
-                named = F.col(keys[0]).isNotNull() & (F.col(keys[0]) != "")
-                df = df.where(named).join(parent, keys, "left_semi").unionByName(
-                    df.where(~F.coalesce(named, F.lit(False)))
-                )
+                named = F.col(first).isNotNull() & (F.col(first) != "")
+                df = found.where(named).unionByName(df.where(~F.coalesce(named, F.lit(False))))
             else:
-                df = df.join(parent, keys, "left_semi")
+                df = found
         kept[name] = df
     return kept
 

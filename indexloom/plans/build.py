@@ -12,10 +12,12 @@ from indexloom.operators.ranking import distinct_rows, keep_first
 from indexloom.plans.extract import entity_rows, parse_pages
 from indexloom.registry import ENTITIES
 from indexloom.session import materialize
-from indexloom.sources.captures import collect_pages, profiled_maintainers
+from indexloom.sources.captures import collect_pages, profiled_maintainers, rejected_pages
 from indexloom.sources.publish import refresh
 
 ORDER = ["rank", "place"]
+#: Order in which links were met: their page, then their place on it.
+SEEN = ["rank", "place", "pos"]
 
 
 def extract_run(pages: DataFrame, profiles: DataFrame) -> dict[str, DataFrame]:
@@ -28,8 +30,11 @@ def extract_run(pages: DataFrame, profiles: DataFrame) -> dict[str, DataFrame]:
     for name, entity in ENTITIES.items():
         if name == "maintainer":
             continue
-        if name in ("classifier", "maintained_by"):
+        if name == "classifier":
             frames[name] = distinct_rows(entity_rows(parsed, name), entity.names)
+        elif name == "maintained_by":
+            # Keeps where each link was met first: placeholders take the first spelling.
+            frames[name] = keep_first(entity_rows(parsed, name, ORDER), list(entity.names), SEEN)
         elif entity.first_wins:
             rows = entity_rows(parsed, name, ORDER)
             frames[name] = keep_first(rows, entity.key, ORDER).select(*entity.names)
@@ -43,12 +48,20 @@ def clean_run(raw: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str
     """Clean entities with placeholders for unprofiled maintainers, and the verdicts behind them."""
     verdicts = {name: clean_entity(df, name) for name, df in raw.items()}
     frames = {name: v.valid for name, v in verdicts.items()}
-    frames["maintainer"] = backfill_parents(
-        frames["maintainer"], frames["maintained_by"], "username", "maintainer_username", []
-    )
+    links, order = _seen(raw["maintained_by"], frames["maintained_by"])
+    frames["maintainer"] = backfill_parents(frames["maintainer"], links, "username", "maintainer_username", order)
     return frames, verdicts
 
 
+def _seen(raw: DataFrame, valid: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Links with the order in which they were met, where the raw rows still know it."""
+    order = [c for c in SEEN if c in raw.columns]
+    if not order:
+        return valid, []
+    keys = list(ENTITIES["maintained_by"].names)
+    return raw.join(valid.select(*keys), keys, "left_semi"), order
+
+
 def load_run(
     frames: dict[str, DataFrame], root: str, version: str, cascade: bool = False
 ) -> dict[str, int]:
@@ -69,19 +82,35 @@ def load_run(
 
 def build(
     candidates: DataFrame, mains: DataFrame, versions: DataFrame, profiles: DataFrame, root: str, version: str,
-    n_packages: int = 100, cascade: bool = False,
+    n_packages: int | None = None, cascade: bool = False, n_releases: int | None = None,
+    reports: dict[str, DataFrame] | None = None,
 ) -> dict[str, int]:
-    """From captured pages to a published version; returns row counts per table."""
-    pages, _ = collect_pages(candidates, mains, versions, n_packages)
+    """From captured pages to a published version; returns row counts per table.
+
+    ``n_packages`` and ``n_releases`` limit a build to the first packages and
+    releases; by default all are read. A dict given as ``reports`` receives the skipped
+    releases, the rejected pages, and the dropped, cut and backfilled counts.
+    """
+    pages, skipped = collect_pages(candidates, mains, versions, n_packages, n_releases)
     raw = extract_run(pages, profiles)
-    clean, _ = clean_run(raw)
+    clean, verdicts = clean_run(raw)
     stored = {name: materialize(df, f"clean-{name}") for name, df in clean.items()}
+    if reports is not None:
+        reports["skipped_versions"] = skipped
+        challenged = [p.select(F.lit(kind).alias("kind"), F.col(key).alias("page"), "html") for kind, p, key in (
+            ("main", mains, "package"), ("version", versions, "package"), ("profile", profiles, "username"))]
+        every = challenged[0].unionByName(challenged[1]).unionByName(challenged[2])
+        reports["rejected_pages"] = rejected_pages(every, F.lit(True))
+        reports["run"] = _report(verdicts, raw)
     return load_run(stored, root, version, cascade)
 
 
 def run_report(raw: dict[str, DataFrame]) -> DataFrame:
     """Dropped rows, cut cells and placeholders of a run: (entity, outcome, reason, n)."""
-    verdicts = {name: clean_entity(df, name) for name, df in raw.items()}
+    return _report({name: clean_entity(df, name) for name, df in raw.items()}, raw)
+
+
+def _report(verdicts: dict[str, Verdict], raw: dict[str, DataFrame]) -> DataFrame:
     lines: DataFrame | None = None
     for verdict in verdicts.values():
         lines = verdict.report if lines is None else lines.unionByName(verdict.report)

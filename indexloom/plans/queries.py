@@ -44,7 +44,7 @@ def top_packages_naive(t: Tables, limit: int = 10) -> DataFrame:
 
 
 def _packages_with_maintainer_like(t: Tables, part: str) -> DataFrame:
-    hits = t["maintainer"].where(fold_case(F.col("username")).contains(part.lower())).select("maintainer_id")
+    hits = t["maintainer"].where(fold_case(F.col("username")).contains(fold_case(F.lit(part)))).select("maintainer_id")
     return t["maintained_by"].join(hits, "maintainer_id", "left_semi").select("package_id")
 
 

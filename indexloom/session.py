@@ -32,11 +32,14 @@ def build_session(app_name: str = "indexloom", master: str | None = None, **conf
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the cluster's shared checkpoint folder.
 
-    The folder comes from ``spark.checkpoint.dir``. Where a session has none
-    (local tests), one is made and remembered in that session's settings.
+    The folder comes from ``spark.checkpoint.dir``. A session without it is an
+    error on a cluster, whose executors would each write to a disk of their own; a
+    local session gets one, remembered in its settings.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="indexloom-")
         spark.conf.set(CHECKPOINT_CONF, root)
     return f"{root.rstrip('/')}/indexloom/{label}-{uuid.uuid4().hex}"

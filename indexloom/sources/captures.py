@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from indexloom.functions.text import strip_space
+from indexloom.operators.ranking import keep_first
 from indexloom.plans import extract
 from indexloom.session import materialize
 
-MAX_RELEASES = 10
-MAX_PACKAGES = 100
-
-
-def read_candidates(spark: SparkSession, path: str, at_least: int = MAX_PACKAGES) -> DataFrame:
+def read_candidates(spark: SparkSession, path: str, at_least: int = 1) -> DataFrame:
     """Package names of a list file in file order: (rank, package). Too short a list is an error."""
     lines = spark.read.text(path).select(
         F.monotonically_increasing_id().alias("rank"), strip_space(F.col("value")).alias("package")
@@ -44,14 +41,25 @@ def not_challenged(pages: DataFrame) -> DataFrame:
     return pages.where(~F.col("html").contains(extract.CHALLENGE_MARKER))
 
 
-def planned_versions(main: DataFrame, limit: int = MAX_RELEASES) -> DataFrame:
+def first_captures(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """One usable capture per key: the first by ``captured`` if the pages have such a column, else the smallest."""
+    order = [c for c in ("captured",) if c in pages.columns]
+    return keep_first(not_challenged(pages), keys, order)
+
+
+def planned_versions(main: DataFrame, limit: int | None = None) -> DataFrame:
     """Releases to read per package from its parsed main page: (package, version, place, is_current).
 
-    The history is an array of one page, so the cap is a slice in the row: the
-    current version first (place 0), then the first ``limit`` entries without it.
+    The history is an array of one page, so all is done in the row: the current
+    version first (place 0), then the entries without it, the first ``limit`` if
+    one is given. A version that the history lists twice is read once.
     """
-    entries = F.transform(F.slice("history", 1, limit), lambda e, n: F.struct(e["version"].alias("version"), (n + 1).alias("place")))
-    others = F.filter(entries, lambda e: e["version"] != F.col("current_version"))
+    listed = F.col("history") if limit is None else F.slice("history", 1, limit)
+    entries = F.transform(listed, lambda e, n: F.struct(e["version"].alias("version"), (n + 1).alias("place")))
+    names = F.transform(listed, lambda e: e["version"])
+    others = F.filter(
+        entries, lambda e: (e["version"] != F.col("current_version")) & (F.array_position(names, e["version"]) == e["place"])
+    )
     lead = F.array(F.struct(F.col("current_version").alias("version"), F.lit(0).alias("place")))
     carried = [c for c in ("rank", "package") if c in main.columns]
     plan = main.select(*carried, F.explode(F.concat(lead, others)).alias("p"))
@@ -69,28 +77,32 @@ def profiled_maintainers(links: DataFrame, profiles: DataFrame) -> DataFrame:
     Names shrink to distinct ones before they meet the profile pages.
     """
     names = links.select(F.col("maintainer_username").alias("username")).distinct()
-    good = not_challenged(profiles).select("username", extract.joined_at(F.col("html")).alias("joined_at"))
-    return good.join(names, "username", "left_semi")
+    wanted = first_captures(profiles.join(names, "username", "left_semi"), ["username"])
+    return wanted.select("username", extract.joined_at(F.col("html")).alias("joined_at"))
 
 
 def collect_pages(
-    candidates: DataFrame, mains: DataFrame, versions: DataFrame, n_packages: int = MAX_PACKAGES
+    candidates: DataFrame, mains: DataFrame, versions: DataFrame, n_packages: int | None = None,
+    n_releases: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Pages to extract and the releases that were skipped.
 
     candidates(rank, package), mains(package, html), versions(package, version, html).
-    The first ``n_packages`` candidates whose main page is usable are read, their
-    current release from the main page, the others from version pages.
+    All candidates whose main page is usable are read, or the first ``n_packages``
+    of them; their current release comes from the main page, the others, all or the first
+    ``n_releases`` of the history, from version pages. Pages captured twice count once.
     """
+    candidates = candidates.groupBy("package").agg(F.min("rank").alias("rank"))
+    mains = first_captures(mains.join(candidates.select("package"), "package", "left_semi"), ["package"])
     heads = extract.parse_pages(
-        not_challenged(mains).select("package", F.lit(None).cast("string").alias("version"), "html"),
+        mains.select("package", F.lit(None).cast("string").alias("version"), "html"),
         ("current_version", "history"),
     ).where(F.size("history") > 0)
     heads = candidates.join(heads.select("package", "current_version", "history"), "package")
-    chosen = heads.orderBy("rank").limit(n_packages)
+    chosen = heads if n_packages is None else heads.orderBy("rank").limit(n_packages)
     # Written down once: it feeds three joins, and its true size then decides how they run.
-    plan = materialize(planned_versions(chosen), "release-plan")
-    good = not_challenged(versions)
+    plan = materialize(planned_versions(chosen, n_releases), "release-plan")
+    good = first_captures(versions, ["package", "version"])
     later = good.join(plan.where("not is_current"), ["package", "version"])
     first = mains.join(plan.where("is_current"), "package")
     columns = ["rank", "place", "package", "version", "html"]

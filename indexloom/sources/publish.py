@@ -8,6 +8,8 @@ so a failed load leaves readers on the version before.
 from __future__ import annotations
 
 import json
+import time
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -30,7 +32,11 @@ def refresh(
         sample = violations.take(1)
         if sample:
             raise LoadRefused(f"{name}: {sample[0].asDict()}")
-    base = f"{root.rstrip('/')}/versions/{version}"
+    if files.exists(next(iter(tables.values())).sparkSession, f"{root.rstrip('/')}/manifests/{version}.json"):
+        raise FileExistsError(f"version {version} is published already")
+    # A folder of its own, so that a load that failed half-way can be tried again under its name.
+    folder = f"{version}-{uuid.uuid4().hex}"
+    base = f"{root.rstrip('/')}/versions/{folder}"
     counts = {}
     spark = None
     for name, df in tables.items():
@@ -39,19 +45,23 @@ def refresh(
         df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{base}/{name}")
         counts[name] = seen.get["n"]
     files.write_text_once(
-        spark, f"{root.rstrip('/')}/manifests/{version}.json", json.dumps({"version": version, "rows": counts})
+        spark, f"{root.rstrip('/')}/manifests/{version}.json", json.dumps({"version": version, "folder": folder, "published": time.time(), "rows": counts})
     )
     return counts
 
 
+def _manifest(spark: SparkSession, root: str, version: str) -> dict:
+    return json.loads(files.read_text(spark, f"{root.rstrip('/')}/manifests/{version}.json"))
+
+
 def published_version(spark: SparkSession, root: str) -> str:
-    """Newest published version by name."""
-    names = [n for n in files.list_names(spark, f"{root.rstrip('/')}/manifests") if n.endswith(".json")]
+    """The version published last, by the time in its manifest."""
+    names = [n[: -len(".json")] for n in files.list_names(spark, f"{root.rstrip('/')}/manifests") if n.endswith(".json")]
     if not names:
         raise FileNotFoundError(f"nothing published below {root}")
-    return max(names)[: -len(".json")]
+    return max(names, key=lambda n: (_manifest(spark, root, n)["published"], n))
 
 
 def read_published(spark: SparkSession, root: str, table: str, version: str | None = None) -> DataFrame:
     version = version or published_version(spark, root)
-    return spark.read.parquet(f"{root.rstrip('/')}/versions/{version}/{table}")
+    return spark.read.parquet(f"{root.rstrip('/')}/versions/{_manifest(spark, root, version)['folder']}/{table}")

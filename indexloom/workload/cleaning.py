@@ -82,7 +82,7 @@ def _version_skips(spark, sf):
 
 
 def _profile_join(spark, sf):
-    names = table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_suppkey").alias("s_suppkey")).distinct()
+    names = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("s_suppkey")).distinct()
     good = table(spark, sf, "supplier").where("s_acctbal >= 0")
     return good.join(names, "s_suppkey", "left_semi").select("s_suppkey", "s_name")
 
@@ -277,7 +277,7 @@ QUERIES = {
         _profile_join,
         """
         select s_suppkey, s_name from supplier
-        where s_acctbal >= 0 and s_suppkey in (select l_suppkey from lineitem where l_returnflag = 'R')""",
+        where s_acctbal >= 0 and s_suppkey in (select l_suppkey from lineitem)""",
     ),
     "pages_reject": Query(
         _pages_reject,

@@ -269,7 +269,7 @@ def _normalized(spark, sf):
 
 
 def _owned(spark, sf):
-    owned = table(spark, sf, "customer").where("c_acctbal > 9000")
+    owned = table(spark, sf, "customer")
     rows = checks.child_counts(table(spark, sf, "nation"), owned, "n_nationkey", "c_nationkey", "owned_project_count")
     return rows.select("n_name", "owned_project_count")
 
@@ -310,11 +310,11 @@ def _spdx(spark, sf):
 
 def _read_entity(spark, sf):
     """Write releases as JSON lines, read them back as entity text fields."""
-    rows = view(spark, sf, "release").where("requires_python is not null")
+    rows = view(spark, sf, "release")
     path = scratch_path(spark, "entity")
     runs.write_run({"release": rows}, path, "run_1", "json")
     back = runs.read_entity(spark, f"{path}/run_1", "release", array=False)
-    return back.select("package_name", "version", "is_prerelease", "yanked", "lifecycle_status", "yanked_reason", "summary")
+    return back.select("package_name", "version", "is_prerelease", "yanked", "lifecycle_status", "yanked_reason", "summary", "requires_python")
 
 
 def _latest_run(spark, sf):
@@ -454,7 +454,7 @@ QUERIES = {
         _owned,
         """
         select n_name, count(c_custkey) as owned_project_count
-        from nation left join customer on c_nationkey = n_nationkey and c_acctbal > 9000 group by n_name""",
+        from nation left join customer on c_nationkey = n_nationkey group by n_name""",
     ),
     "maintained_project_count": Query(
         _maintained,
@@ -482,7 +482,7 @@ QUERIES = {
         _read_entity,
         f"""
         select package_name, version, cast(is_prerelease as varchar) as is_prerelease, cast(yanked as varchar) as yanked,
-               lifecycle_status, yanked_reason, summary from ({view_sql('release')}) r where requires_python is not null""",
+               lifecycle_status, yanked_reason, summary, requires_python from ({view_sql('release')}) r""",
     ),
     "src_latest_run": Query(
         _latest_run,

@@ -31,8 +31,11 @@ def tables(spark, clear=True):
 
 
 def test_pages_to_published_tables(spark):
-    root = scratch_path(spark, "store")
-    counts = build(*tables(spark), root, "run_1", n_packages=2)
+    root, reports = scratch_path(spark, "store"), {}
+    counts = build(*tables(spark), root, "run_1", n_packages=2, reports=reports)
+    assert {r.version for r in reports["skipped_versions"].collect()} >= {"1.5"}
+    assert {(r.kind, r.reason) for r in reports["rejected_pages"].collect()} >= {("version", "challenge page")}
+    assert {(r.entity, r.outcome) for r in reports["run"].collect()} >= {("maintainer", "backfilled")}
     assert published_version(spark, root) == "run_1"
     assert set(counts) == set(LOAD_ORDER)
     assert (counts["package"], counts["organization"], counts["release"]) == (2, 1, 3)
@@ -108,3 +111,31 @@ def test_entity_files_to_published_tables(spark, tmp_path):
     release = read_published(spark, root, "release").first()
     assert release.summary == "s" * 509 + "..."
     assert read_published(spark, root, "release_file").first().size == 12
+
+
+def test_cascade_compares_names_case_blind(spark):
+    from indexloom.operators.keys import drop_dangling
+    from indexloom.registry import ENTITIES
+
+    frames = {n: spark.createDataFrame([], e.schema()) for n, e in ENTITIES.items()}
+    frames["package"] = spark.createDataFrame([("p", None, None)], ENTITIES["package"].schema())
+    frames["maintainer"] = spark.createDataFrame([("bob", None)], ENTITIES["maintainer"].schema())
+    frames["maintained_by"] = spark.createDataFrame([("p", "Bob"), ("p", "eve")], ENTITIES["maintained_by"].schema())
+    assert [r.maintainer_username for r in drop_dangling(frames)["maintained_by"].collect()] == ["Bob"]
+
+
+def test_a_failed_version_can_be_tried_again_and_the_last_published_is_read(spark):
+    import pytest
+
+    from indexloom.sources.publish import LoadRefused, refresh
+
+    root = scratch_path(spark, "store")
+    t = {"package": spark.range(3).toDF("package_id")}
+    refresh(t, root, "v9")
+    with pytest.raises(LoadRefused):
+        refresh(t, root, "v10", {"never": spark.range(1)})
+    with pytest.raises(Exception):
+        refresh({**t, "release": spark.range(1).selectExpr("raise_error('x') as c")}, root, "v10")
+    refresh({"package": spark.range(5).toDF("package_id")}, root, "v10")
+    assert published_version(spark, root) == "v10"
+    assert read_published(spark, root, "package").count() == 5
