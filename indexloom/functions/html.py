@@ -232,10 +232,17 @@ def first_line_after(item: Column, label: str) -> Column:
     return non_blank(strip_space(decode_references(F.substring_index(after_label(item, label), "\n", 1))))
 
 
-def list_after_heading(fragment: Column, heading: str) -> Column:
-    """Links of the list right behind an h6 with the given text: array of (href, text)."""
-    pattern = rf"(?s)<h6(?=[\s>])[^>]*>\s*{heading}\s*</h6\s*>\s*{opening('ul', 'vertical-tabs__list')}(.*?)</ul\s*>"
-    return links_in_items(F.array_join(F.regexp_extract_all(fragment, F.lit(pattern), 1), ""))
+def heading(tag: str, text: str) -> str:
+    """Pattern of a heading whose trimmed text is ``text``, whatever icons or other markup it holds."""
+    pad = rf"(?:\s|&nbsp;|<(?!/?{tag}[\s>])[^>]*>)*+"
+    return rf"<{tag}(?=[\s>])[^>]*>{pad}{text}{pad}</{tag}\s*>"
+
+
+def list_after_heading(fragment: Column, text: str, last: bool = False) -> Column:
+    """Links of the lists right behind each h6 with the given text, or behind the last: array of (href, text)."""
+    pattern = rf"(?s){heading('h6', text)}\s*{opening('ul', 'vertical-tabs__list')}(.*?)</ul\s*>"
+    lists = F.regexp_extract_all(fragment, F.lit(pattern), 1)
+    return links_in_items(F.coalesce(F.try_element_at(lists, F.lit(-1)), F.lit("")) if last else F.array_join(lists, ""))
 
 
 def links_in_items(fragment: Column) -> Column:

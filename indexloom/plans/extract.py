@@ -85,8 +85,8 @@ def quarantine_status(header: Column) -> Column:
 
 
 def owner(verified: Column) -> Column:
-    """First link of the list behind an "Owner" heading: struct(name, display_name), null if none."""
-    links = F.filter(H.list_after_heading(verified, "Owner"), lambda a: a["href"] != "")
+    """First link of the list behind the last "Owner" heading: struct(name, display_name), null if none."""
+    links = F.filter(H.list_after_heading(verified, "Owner", last=True), lambda a: a["href"] != "")
     link = F.get(links, 0)
     slug = F.element_at(F.split(F.regexp_replace(link["href"], "/$", ""), "/"), -1)
     return F.when(
@@ -223,7 +223,7 @@ def hash_rows(panel: Column) -> Column:
 
 def attestation(panel: Column, items: Column) -> Column:
     """Provenance of one file as a struct; null without a 'Provenance' heading."""
-    heading = panel.rlike(r"(?s)<h[34](?=[\s>])[^>]*>\s*Provenance\s*</h[34]")
+    heading = panel.rlike(f"(?s){H.heading('h3', 'Provenance')}|{H.heading('h4', 'Provenance')}")
 
     logs = F.filter(items, lambda i: i["text"].startswith("Sigstore transparency entry:"))
     indexes = F.filter(
@@ -317,7 +317,7 @@ def classifiers(tags: Column) -> Column:
 
 def maintainers(verified: Column) -> Column:
     """Usernames in page order, only under a 'Maintainers' heading."""
-    heading = verified.rlike(r"(?s)<h6(?=[\s>])[^>]*>\s*Maintainers\s*</h6")
+    heading = verified.rlike("(?s)" + H.heading("h6", "Maintainers"))
     spans = H.all_leaves(verified, "span", "sidebar-section__user-gravatar-text")
     return F.when(heading, F.transform(spans, H.clean_text)).otherwise(F.array().cast("array<string>"))
 

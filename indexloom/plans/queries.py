@@ -43,18 +43,20 @@ def top_packages_naive(t: Tables, limit: int = 10) -> DataFrame:
     )
 
 
-def _packages_with_maintainer_like(t: Tables, part: str) -> DataFrame:
-    hits = t["maintainer"].where(fold_case(F.col("username")).contains(fold_case(F.lit(part)))).select("maintainer_id")
-    return t["maintained_by"].join(hits, "maintainer_id", "left_semi").select("package_id")
-
-
 def releases_by_maintainer_name(t: Tables, part: str = "lib") -> DataFrame:
-    """Releases of packages with a maintainer whose name holds ``part`` (case-blind), with maintainer counts."""
-    counts = t["maintained_by"].groupBy("package_id").agg(F.count("*").alias("maintainer_count"))
-    wanted = t["package"].join(_packages_with_maintainer_like(t, part), "package_id", "left_semi")
+    """Releases of packages with a maintainer whose name holds ``part`` (case-blind), with maintainer counts.
+
+    One pass over the links: matching maintainers are marked, then each package is counted and kept if any is.
+    """
+    hits = t["maintainer"].where(fold_case(F.col("username")).contains(fold_case(F.lit(part))))
+    hits = hits.select("maintainer_id", F.lit(True).alias("_hit"))
+    counts = (
+        t["maintained_by"].join(hits, "maintainer_id", "left").groupBy("package_id")
+        .agg(F.count("*").alias("maintainer_count"), F.max("_hit").alias("_hit")).where("_hit").drop("_hit")
+    )
     return (
         t["release"]
-        .join(wanted.select("package_id", "name").join(counts, "package_id"), "package_id")
+        .join(t["package"].select("package_id", "name").join(counts, "package_id"), "package_id")
         .select("release_id", "version", "name", "maintainer_count")
         .orderBy("name", "release_id")
     )
