@@ -112,11 +112,14 @@ def edge_name(entity: str, ref: Ref) -> str:
 
 
 def drop_dangling(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Remove children of missing parents, parents first, as an alternative to refusing the load."""
+    """Remove children of missing parents, parents first, as an alternative to refusing the load.
+
+    References to entities that are not at hand are not judged.
+    """
     kept: dict[str, DataFrame] = {}
-    for name in LOAD_ORDER:
+    for name in (n for n in LOAD_ORDER if n in frames):
         df = frames[name]
-        for ref in ENTITIES[name].refs:
+        for ref in (r for r in ENTITIES[name].refs if r.parent in frames):
             first = ref.columns[0]
             keys = [f"_k{n}" for n in range(len(ref.columns))]
             folded = ENTITIES[ref.parent].folded
@@ -135,6 +138,16 @@ def drop_dangling(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return kept
 
 
+def cascade_report(frames: dict[str, DataFrame], kept: dict[str, DataFrame]) -> DataFrame:
+    """Rows that ``drop_dangling`` removed: (entity, n_rows), entities that lost none left out."""
+    lines: DataFrame | None = None
+    for name, df in kept.items():
+        both = frames[name].select(F.lit(1).alias("n")).unionByName(df.select(F.lit(-1).alias("n")))
+        line = both.agg(F.sum("n").alias("n_rows")).select(F.lit(name).alias("entity"), "n_rows")
+        lines = line if lines is None else lines.unionByName(line)
+    return lines.where("n_rows > 0")
+
+
 # Parents before children.
 LOAD_ORDER = (
     "organization", "maintainer", "classifier", "package", "release", "release_detail", "release_file",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from indexloom.functions import text as X
 from indexloom.operators import checks
-from indexloom.operators.keys import dense_ids, natural_id, reference_violations, resolve, unresolved
+from indexloom.operators.keys import cascade_report, dense_ids, drop_dangling, natural_id, reference_violations, resolve, unresolved
 from indexloom.operators.load import load_shape
 from indexloom.registry import ENTITIES, Col
 from indexloom.session import scratch_path
@@ -108,6 +108,42 @@ def _violations_sql() -> str:
     return "select * from (" + " union all ".join(edges) + ") e where n_rows > 0"
 
 
+_DETAILS = {
+    "release_detail": "release", "project_link": "release", "release_keyword": "release", "release_file_tag": "release_file",
+    "attestation": "release_file",
+}
+
+
+def _violations_of_details(spark, sf):
+    have = frames(spark, sf, *_DETAILS)
+    for name in ("release", "release_file"):
+        have[name] = _parent(spark, sf, name)
+    lines = reference_violations(have)
+    return lines.groupBy("edge").agg(F.count("*").alias("n_keys"), F.sum("n_rows").alias("n_rows"))
+
+
+def _violations_of_details_sql() -> str:
+    edges = [_edge_sql("release_file", _parent_sql("release_file"), ("package_name", "version"), "release")]
+    for child, parent in _DETAILS.items():
+        edges.append(_edge_sql(child, f"({view_sql(child)})", ENTITIES[parent].key if parent == "release_file" else ("package_name", "version"), parent))
+    return "select * from (" + " union all ".join(edges) + ") e where n_rows > 0"
+
+
+def _cascade(spark, sf):
+    have = frames(spark, sf, "release", "release_file", "file_hash", "maintained_by")
+    have |= {n: _parent(spark, sf, n) for n in ("package", "maintainer")}
+    return cascade_report(have, drop_dangling(have))
+
+
+def _cascade_sql() -> str:
+    """Who loses rows as parents go: releases and files by their package, links by package or maintainer."""
+    gone = f"not exists (select 1 from {_parent_sql('package')} p where p.name = c.package_name)"
+    nobody = f"not exists (select 1 from {_parent_sql('maintainer')} m where lower(m.username) = lower(c.maintainer_username))"
+    parts = [f"select '{n}' as entity, count(*) as n_rows from ({view_sql(n)}) c where {gone}" for n in ("release", "release_file", "file_hash")]
+    parts.append(f"select 'maintained_by', count(*) from ({view_sql('maintained_by')}) c where {gone} or {nobody}")
+    return "select * from (" + " union all ".join(parts) + ") e where n_rows > 0"
+
+
 _STAMPS = """
 select o_orderkey,
        case o_orderpriority
@@ -382,6 +418,8 @@ QUERIES = {
         "tagged_with", ("category", "value"), "classifier", "classifier_id", (*_REL, "category", "value")
     ),
     "fk_violations": Query(_violations, _violations_sql()),
+    "fk_violations_details": Query(_violations_of_details, _violations_of_details_sql()),
+    "cascade_report": Query(_cascade, _cascade_sql()),
     "parse_timestamp": Query(
         _parse_timestamp,
         """
