@@ -9,12 +9,13 @@ similarity, so runs of registers serve as band keys.
 Steps, each a join, an aggregate or a narrow map:
 * one pass over the texts: size of the set, its fingerprint, its sketch;
 * documents with one fingerprint are one node;
-* each band bucket links its nodes to its smallest node (a star), never all pairs;
+* each band bucket links its nodes to one centre (a star), never all pairs: the node whose
+  buckets hold most, which in a family of edited copies is the text they were made from;
 * candidates pass if the maximum-likelihood similarity of their registers, given both set
   sizes, is within ``SLACK`` standard errors of the threshold, and are links
   if the full sets confirm it;
-* nodes that their star's centre did not reach form the next, smaller star; after
-  ``ROUNDS`` of them, what is left in a bucket is compared across components only;
+* nodes around one centre that are still in different components are compared by their full sets, in blocks
+  of bounded size and inside tasks, which send one link per node and component it meets;
 * components come from alternating large and small stars over the links.
 
 Two nodes of the wanted similarity that share no band are missed with a probability of
@@ -33,8 +34,10 @@ from pyspark.sql import functions as F
 
 from indexloom.llm.common import map_arrow, stored, table, text_bytes, text_slices, widened
 
-REGISTERS, ROWS, ROUNDS, SLACK = 128, 4, 2, 6.0
+REGISTERS, ROWS, SLACK = 128, 4, 6.0
 BANDS = REGISTERS // ROWS
+#: Nodes and shingles of one block of the comparison around a centre.
+BLOCK, BLOCK_SHINGLES = 1_000, 500_000
 #: Base, rate and largest value of the registers: steps of a thousandth, 16 bits.
 BASE, RATE, LIMIT = 1.001, 20.0, 65_534
 _IS_SPACE = np.zeros(256, bool)
@@ -100,7 +103,7 @@ def fingerprints(codes: np.ndarray, first: np.ndarray) -> list[bytes]:
 
 def registers(minima: np.ndarray) -> np.ndarray:
     """Register values from the least of uniform 64-bit numbers."""
-    least = -np.log1p(-(minima.astype(np.float64) + 0.5) / 2.0**64) / RATE
+    least = -np.log1p(-np.minimum((minima.astype(np.float64) + 0.5) / 2.0**64, 1 - 2.0**-53)) / RATE
     return np.clip(np.floor(1 - np.log(least) / np.log(BASE)), 0, LIMIT + 1).astype(np.uint16)
 
 
@@ -196,6 +199,72 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.select("node").join(least, nodes["node"] == least["a"], "left").select("node", F.coalesce("m", "node").alias("component"))
 
 
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """node and codes, the full shingle set, of the nodes in ``wanted(node)``."""
+    wanted = stored(wanted.distinct(), "near-wanted")
+    readable = nodes.join(wanted, "node", "left_semi").select("doc_id").distinct()
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, "text"):
+            codes, first = shingle_sets(part.column("text"), words)
+            lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(codes.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(fingerprints(codes, first), pa.binary()), lists], names=["node", "codes"])
+
+    texts = docs.join(readable, "doc_id", "left_semi").select("text")
+    found = map_arrow(texts, sets, "node binary, codes array<long>").join(wanted, "node", "left_semi")
+    return stored(found.dropDuplicates(["node"]), "near-sets")
+
+
+def _across(members: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between components of ``members(centre, node, component)`` around one centre.
+
+    A centre's nodes are dealt over blocks, and each pair of blocks meets in a task, where one matrix product
+    counts the shingles that sets share. A node is sent once per block of its centre, never once per pair.
+    """
+    sized = members.join(nodes.select("node", "n_shingles"), "node")
+    split = sized.groupBy("centre").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"),
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks"), F.count("*").alias("n"),
+    )
+    split = split.filter("lo < hi and n > 1").select("centre", "blocks")
+    dealt = stored(members.join(split, "centre").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))), "near-blocks")
+    full = _sets(dealt.select("node"), nodes, docs, words)
+    meets = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda o: F.struct(F.least(o, "block").alias("i"), F.greatest(o, "block").alias("j"))))
+    placed = dealt.select("centre", "node", "component", "block", meets.alias("at")).join(full, "node")
+
+    def compare(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        n = t.num_rows
+        lists = t.column("codes").chunk(0)
+        sizes = np.diff(lists.offsets.to_numpy())
+        each, code, times = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True, return_counts=True)
+        shared = times > 1  # others are in one set only
+        number = np.cumsum(shared) - 1
+        row, code = np.repeat(np.arange(n), sizes), code.ravel()
+        row, code = row[shared[code]], number[code[shared[code]]]
+        order = np.argsort(code, kind="stable")
+        row, code = row[order], code[order]
+        common = np.zeros((n, n), np.float32)
+        for a in range(0, int(shared.sum()), 2048):
+            lo, hi = np.searchsorted(code, [a, a + 2048])
+            m = np.zeros((n, 2048), np.float32)
+            m[row[lo:hi], code[lo:hi] - a] = 1
+            common += m @ m.T
+        _, component = np.unique(np.array(t.column("component").to_pylist(), object), return_inverse=True)
+        _, block = np.unique(t.column("block").to_numpy(), return_inverse=True)
+        link = 100 * common.astype(np.int64) >= percent * (sizes[:, None] + sizes[None, :] - common.astype(np.int64))
+        link &= component.ravel()[:, None] != component.ravel()[None, :]
+        if block.max(initial=0):
+            link &= block.ravel()[:, None] != block.ravel()[None, :]
+        ends: dict[tuple[int, int], int] = {}
+        for x, y in zip(*np.nonzero(link)):
+            ends.setdefault((int(x), int(component.ravel()[y])), int(y))
+        node = t.column("node").chunk(0) if n else pa.array([], pa.binary())
+        return pa.table({"a": node.take(pa.array([x for x, _ in ends], pa.int64())), "b": node.take(pa.array(list(ends.values()), pa.int64()))})
+
+    return placed.groupBy("centre", "at").applyInArrow(compare, "a binary, b binary")
+
+
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of ``pairs(a, b)`` that are links: likely by their registers, sure by their full sets."""
     a = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("size_a"), F.col("registers").alias("regs_a"))
@@ -213,17 +282,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int,
 
     kept = map_arrow(sized.select("a", "b", "size_a", "size_b", "regs_a", "regs_b"), likely, "a binary, b binary, size_a long, size_b long")
     kept = stored(kept, "near-candidates")
-    wanted = kept.select(F.col("a").alias("node")).union(kept.select("b")).distinct()
-    readable = stored(nodes.join(wanted, "node", "left_semi").select("doc_id").distinct(), "near-wanted")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
-            codes, first = shingle_sets(part.column("text"), words)
-            lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(codes.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(fingerprints(codes, first), pa.binary()), lists], names=["node", "codes"])
-
-    texts = docs.join(readable, "doc_id", "left_semi").select("text")
-    full = stored(map_arrow(texts, sets, "node binary, codes array<long>").dropDuplicates(["node"]), "near-sets")
+    full = _sets(kept.select(F.col("a").alias("node")).union(kept.select("b")), nodes, docs, words)
     one = full.select(F.col("node").alias("a"), F.col("codes").alias("codes_a"))
     two = full.select(F.col("node").alias("b"), F.col("codes").alias("codes_b"))
     both = kept.join(one, "a").join(two, "b")
@@ -251,36 +310,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     ties = stored(solid.join(of_id.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b")).filter("a <> b"), "near-ties")
 
     keys = nodes.select("node", F.explode(band_keys(F.col("registers"))).alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = stored(keys.join(shared, "key"), "near-buckets")
-    links, tried = ties, None
-    reached = nodes.select("node", F.col("node").alias("component"))
-    rest = buckets
-    for turn in range(ROUNDS + 1):
-        if turn < ROUNDS:
-            centre = rest.groupBy("key").agg(F.min("node").alias("centre"))
-            rest = rest.join(centre, "key").filter("node <> centre")
-            pairs = rest.select(F.col("centre").alias("a"), F.col("node").alias("b"))
-        else:
-            # Members of all but a bucket's largest component, against the other components.
-            named = buckets.join(reached, "node")
-            parts = named.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key")
-            parts = parts.agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
-            apart = named.join(parts, "key")
-            minor = apart.filter("component <> main").select("key", F.col("node").alias("x"), F.col("component").alias("cx"))
-            other = apart.select("key", F.col("node").alias("y"), F.col("component").alias("cy"))
-            pairs = minor.join(other, "key").filter("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        pairs = pairs.distinct()
-        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        if pairs.isEmpty():
-            break
-        tried = pairs if tried is None else tried.union(pairs)
-        links = links.union(stored(_confirmed(pairs, nodes, docs, words, percent), "near-links"))
+    weight = buckets.groupBy("node").agg(F.sum("n").alias("weight"))
+    centre = buckets.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("c"))
+    stars = buckets.join(centre.select("key", F.col("c.node").alias("centre")), "key")
+    stars = stored(stars.filter("node <> centre").select("centre", "node").distinct(), "near-stars")
+    links = ties
+    if not stars.isEmpty():
+        links = links.union(stored(_confirmed(stars.select(F.col("centre").alias("a"), F.col("node").alias("b")), nodes, docs, words, percent), "near-links"))
         reached = stored(components(nodes, links), "near-components")
-        if turn < ROUNDS:
-            # The next star is made of those that the centre doesn't reach.
-            near = reached.select(F.col("node").alias("centre"), F.col("component").alias("main"))
-            rest = stored(rest.join(near, "centre").join(reached, "node").filter("component <> main").select("node", "key"), "near-rest")
+        links = links.union(stored(_across(stars.join(reached, "node"), nodes, docs, words, percent), "near-across"))
+    reached = stored(components(nodes, links), "near-components")
     ids = stored(solid.select("node", "doc_id").join(reached, "node").select("doc_id", "component"), "near-ids")
     names = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_id = ids.distinct().join(names, "component").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
