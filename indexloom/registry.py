@@ -89,6 +89,7 @@ _FILE = Ref(("package_name", "version", "filename"), "release_file")
 _REL_COLS = (must("package_name"), must("version"))
 _FILE_COLS = (*_REL_COLS, must("filename"))
 
+# Names, order, limits and rules of the columns are those of the relational model.
 _ALL = (
     Entity(
         "package",

@@ -232,6 +232,9 @@ def _html(*parts) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
+# Fixed values below: tags, class names, attribute names and labels are the index's own markup.
+
+
 def _panel(filename: Column, size: Column, tags: str, via: Column, provenance: Column) -> Column:
     c = F.col
     hashes = _html(

@@ -1,5 +1,7 @@
 """Hand-made pages for the extraction tests."""
 
+# Tags, class names, attribute names and labels are the index's own markup, which the rules must match.
+
 SIDEBAR = """
 <div class="sidebar-section verified">
   <h6>Owner</h6>

@@ -68,3 +68,21 @@ def test_references(spark):
 
 def test_strip_space_covers_unicode(spark):
     assert apply(spark, X.strip_space, [" \t a b \n"]) == ["a b"]
+
+
+def test_heading_with_markup(spark):
+    from indexloom.functions.html import list_after_heading
+
+    def part(head, name):
+        return f'<h6>{head}</h6> <ul class="vertical-tabs__list"><li><a href="/org/{name}/">{name}</a></li></ul>'
+
+    text = part('<i class="fas fa-x"></i> Owner ', "first") + part("Owner", "last") + part("Owners", "other")
+    df = spark.createDataFrame([(text,)], "h string").select(
+        list_after_heading(F.col("h"), "Owner").alias("all"), list_after_heading(F.col("h"), "Owner", last=True).alias("last")
+    )
+    row = df.first()
+    assert [a.text for a in row["all"]] == ["first", "last"] and [a.text for a in row["last"]] == ["last"]
+
+
+def test_size_with_a_no_break_space(spark):
+    assert apply(spark, X.parse_size, ["1.5\xa0kB", "(2\u2009MB)"])[0] == 1536
