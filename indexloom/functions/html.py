@@ -98,6 +98,8 @@ def first_leaf(fragment: Column, tag: str, *classes: str, **attributes: str) ->
 def all_leaves(fragment: Column, tag: str, *classes: str, **attributes: str) -> Column:
     """Outer HTML of every such element, for elements that never contain their own tag."""
     pattern = opening(tag, *classes, **attributes)
+    if tag == ANY_TAG:
+        pattern, tag = pattern.replace(ANY_TAG, f"({ANY_TAG})", 1), r"\2"
     return F.regexp_extract_all(fragment, F.lit(rf"(?s)({pattern}.*?</{tag}\s*>)"), 1)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from indexloom.functions import html as H
-from indexloom.functions.text import let, non_blank, parse_size, strip_space
+from indexloom.functions.text import WHITESPACE, let, non_blank, parse_size, strip_space
 from indexloom.registry import ENTITIES
 
 # The texts and markers index pages carry.
@@ -96,7 +96,7 @@ def owner(verified: Column) -> Column:
 
 def current_version(name: Column) -> Column:
     """Last word of the page header; null when the header is empty."""
-    return non_blank(F.element_at(F.split(H.clean_text(name), r"\s+"), -1))
+    return non_blank(F.element_at(F.split(H.clean_text(name), f"[{WHITESPACE}]+"), -1))
 
 
 def contact(own: Column, claimed: Column, label: str) -> Column:
@@ -133,7 +133,7 @@ def keywords(claimed: Column) -> Column:
     tagged = F.filter(claimed, lambda i: H.opens(i["html"], "li", "tags"))
     html = F.array_join(F.transform(tagged, lambda i: i["html"]), "")
     words = F.transform(
-        H.all_leaves(html, "span", "package-keyword"), lambda s: F.btrim(H.clean_text(s), F.lit(" \n\t\r,"))
+        H.all_leaves(html, H.ANY_TAG, "package-keyword"), lambda s: F.btrim(H.clean_text(s), F.lit(" \n\t\r,"))
     )
     return F.filter(words, lambda w: w != "")
 
@@ -275,7 +275,7 @@ def file_row(entry: Column) -> Column:
     return F.struct(
         entry["filename"].alias("filename"),
         H.link_target(panel, href="").alias("path"),
-        parse_size(H.after_label(H.item_with_prefix(items, "Size:"), "Size:")).alias("size"),
+        parse_size(H.decode_references(H.after_label(H.item_with_prefix(items, "Size:"), "Size:"))).alias("size"),
         H.time_stamp(H.item_with_prefix(items, "Upload date:")["html"]).alias("upload_time"),
         F.coalesce(H.value_after(H.item_with_prefix(items, trusted), trusted) == "Yes", F.lit(False)).alias(
             "is_trusted_publishing"
