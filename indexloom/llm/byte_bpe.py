@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from indexloom.llm.common import map_arrow, table, text_bytes, text_slices, widened
 
 #: Pieces whose ids a worker remembers.
-CACHE = 1 << 19
+CACHE = 1 << 18
 
 # Classes of characters.
 LETTER, NUMBER, OTHER, SHORT, LONG, SPACE_LAST, GAP_LAST, GAP = range(8)
@@ -265,16 +265,19 @@ def _load(path: str) -> bytes:
         return f.read()
 
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", check: bool = False) -> DataFrame:
     """``docs`` with ``ids`` and ``offsets`` (arrays of int) in place of columns of these names.
 
+    With ``check`` the worker decodes the ids again and ``round_trip`` says whether they give the text's bytes.
+
     ids are those of the public pattern and the ranks of the file at ``path``,
     without special tokens; offsets say at which byte of the text each token starts.
     Null and empty texts have empty arrays; repeated rows repeat; an empty table gives
     no rows. Texts are encoded whole, however long, about 1 MB of them at a time.
     """
     lines = docs.sparkSession.sparkContext.broadcast(_load(path))
-    kept = docs.drop(*(c for c in ("ids", "offsets") if c != text))
+    made = ("ids", "offsets", "round_trip") if check else ("ids", "offsets")
+    kept = docs.drop(*(c for c in made if c != text))
     carried = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,9 +285,11 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         for part in text_slices(batches, "_bpe_text"):
             ids, offsets = tokenizer.encode(part.column("_bpe_text"))
             columns = [part.column(c) for c in carried] + [ids, offsets]
-            yield pa.RecordBatch.from_arrays(columns, names=[*carried, "ids", "offsets"])
+            if check:
+                columns.append(pc.equal(tokenizer.decode(ids), part.column("_bpe_text").cast(pa.binary())))
+            yield pa.RecordBatch.from_arrays(columns, names=[*carried, *made])
 
-    schema = widened(kept, "ids array<int>, offsets array<int>")
+    schema = widened(kept, "ids array<int>, offsets array<int>" + ", round_trip boolean" * check)
     return map_arrow(kept.withColumn("_bpe_text", F.col(text)), run, schema)
 
 
