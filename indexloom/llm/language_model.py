@@ -1,30 +1,30 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Unigram counts are taken over all training texts, bigram counts over pairs of the ``VOCABULARY`` most
-frequent tokens. A count c is quantised to level q = floor(log2 c) + 1, and an n-gram enters one Bloom filter as the
+frequent tokens. A count c is quantised to level q = floor(log2 c) + 1, and a bigram enters one Bloom filter as the
 pairs (n-gram, 1) .. (n-gram, q). A query probes (n-gram, 1), (n-gram, 2), ... until a miss; the number of hits
 gives back the count's lower edge 2**(q-1), which a false hit can raise with a small probability only.
 
-The filter is broadcast. Its size follows the number of entries up to ``MAX_BITS`` (32 MB); beyond that, counts
-below the smallest power of two that lets the rest fit are not stored. It is cut into segments, and all probes
-of an n-gram fall into its segment, so that tasks build segments apart from each other.
+The filter holds every n-gram. Its size follows the number of entries; it is cut into segments, and all probes
+of an n-gram fall into its segment, so that tasks build segments apart from each other. Runs of whole segments
+of ``MAX_BITS`` (32 MB) are broadcast one after the other: each pass scores the positions whose pair belongs to it, and the
+sums of the passes are added. Unigram levels come from the exact counts, which the base score needs anyway.
 
 The probability of a token w after h is ``MIX * c(h, w) / c(h) + (1 - MIX) * (c(w) + 0.1) / (N + 0.1 * (V + 1))``, the
 first part only where h is in the vocabulary. Counts are rounded down and totals are exact, so
 probabilities sum to one at most.
 
 The base score needs exact counts of all tokens. Those of the ``FREQUENT`` most frequent are broadcast; other
-tokens, rare by definition, meet their counts in a join.
+tokens, rare by definition, meet their counts in a join, which also scores their positions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,18 +98,25 @@ def _counted(texts: DataFrame, grams) -> DataFrame:
     return map_arrow(texts.select("text"), run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _pairs(hashes: np.ndarray, first: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code of (token before, token) for each token, and whether both are in the vocabulary. A text starts after an end."""
-    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    known = vocabulary[at] == hashes
-    before = np.empty(len(at), np.int64)
-    before[1:] = at[:-1]
-    good = np.ones(len(at), bool)
-    good[1:] = known[:-1]
-    heads = first[:-1]
-    end = min(int(np.searchsorted(vocabulary, END)), len(vocabulary) - 1)
-    before[heads], good[heads] = end, vocabulary[end] == END
-    return before.astype(np.uint64) * np.uint64(len(vocabulary)) + at.astype(np.uint64), good & known
+def _before(values: np.ndarray, first: np.ndarray, end) -> np.ndarray:
+    """What stands before each token: the value of the token before it in its text, ``end`` at a text's start."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[first[:-1]] = end
+    return out
+
+
+def _pair_keys(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Key of (token before, token) for each token. A text starts after an end."""
+    return _mixed(_mixed(_before(hashes, first, END) ^ PAIR) + hashes)
+
+
+def _at(sorted_: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``values`` in ``sorted_`` and whether they are there."""
+    if not len(sorted_):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)
+    return at, sorted_[at] == values
 
 
 def _level_keys(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,15 +126,19 @@ def _level_keys(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Filter:
-    """The whole filter as bytes."""
+    """A run of whole segments as bytes, from segment ``start`` on; ``segments`` counts those of all shards."""
+
+    def __init__(self, segments: int, data: np.ndarray, start: int = 0):
+        self.segments, self.data, self.start = segments, data, start
 
-    def __init__(self, segments: int, data: np.ndarray):
-        self.segments, self.data = segments, data
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        """Whether the segment of each key is here."""
+        return keys % np.uint64(self.segments) - np.uint64(self.start) < np.uint64(len(self.data) * 8 // SEGMENT_BITS)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
-        """Consecutive hits of each key, from level 1 on."""
+        """Consecutive hits of each key, from level 1 on; the keys' segments must be here."""
         found = np.zeros(len(keys), np.int64)
-        base = (keys % np.uint64(self.segments)) * np.uint64(SEGMENT_BITS)
+        base = (keys % np.uint64(self.segments) - np.uint64(self.start)) * np.uint64(SEGMENT_BITS)
         active = np.arange(len(keys))
         level = 1
         while len(active):
@@ -141,13 +152,10 @@ class Filter:
         return found
 
 
-def _filter(entries: DataFrame, levels: dict[int, int]) -> Filter:
-    """Build the filter of ``entries(key, n)``; ``levels`` counts the entries by level."""
-    room = int(MAX_BITS * np.log(2) / HASHES)
-    least = 1
-    while sum(n * q for q, n in levels.items() if q >= least) > room:
-        least += 1
-    size = sum(n * q for q, n in levels.items() if q >= least) * HASHES / np.log(2)
+def _filter(entries: DataFrame) -> tuple[DataFrame, int]:
+    """The filter of all ``entries(key, n)`` as rows (segment, bits), and how many segments it has."""
+    kept = entries.select("key", _quantised(F.col("n")).alias("q"))
+    size = (kept.agg(F.sum("q")).first()[0] or 0) * HASHES / np.log(2)
     segments = max(1, int(np.ceil(size / SEGMENT_BITS)))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,14 +176,10 @@ def _filter(entries: DataFrame, levels: dict[int, int]) -> Filter:
         for number, held in bits.items():
             yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([np.packbits(held, bitorder="little").tobytes()])], names=["segment", "bits"])
 
-    kept = entries.select("key", _quantised(F.col("n")).alias("q")).filter(F.col("q") >= least)
     # Unsigned remainder of the key, as numpy takes it.
     segment = F.pmod(F.pmod("key", F.lit(segments)) + F.when(F.col("key") < 0, F.lit((1 << 64) % segments)).otherwise(0), F.lit(segments))
     dealt = kept.withColumn("segment", segment).repartition("segment").select("key", "q")
-    data = np.zeros(segments * SEGMENT_BITS // 8, np.uint8)
-    for r in stored(map_arrow(dealt, build, "segment long, bits binary"), "lm-filter").collect():  # MAX_BITS at most
-        data[r.segment * SEGMENT_BITS // 8 : (r.segment + 1) * SEGMENT_BITS // 8] |= np.frombuffer(r.bits, np.uint8)
-    return Filter(segments, data)
+    return stored(map_arrow(dealt, build, "segment long, bits binary"), "lm-filter"), segments
 
 
 def _quantised(n):
@@ -183,33 +187,29 @@ def _quantised(n):
     return F.length(F.bin(n))
 
 
+def _edge(q: np.ndarray) -> np.ndarray:
+    """The lower edge of the counts of level ``q``."""
+    return np.where(q > 0, 2.0 ** (q - 1), 0.0)
+
+
 class Model:
-    """What scoring needs, broadcast as one value: bounded by MAX_BITS, VOCABULARY and FREQUENT."""
+    """Frequent tokens with their counts, totals, and the filter as a stored table of segments."""
 
-    def __init__(self, filter_: Filter, vocabulary: np.ndarray, after: np.ndarray, frequent: np.ndarray, counts: np.ndarray, total: int, distinct: int):
-        self.filter, self.vocabulary, self.after = filter_, vocabulary, after
+    def __init__(self, bits: DataFrame | None, segments: int, vocabulary: np.ndarray, frequent: np.ndarray, counts: np.ndarray, total: int, distinct: int):
+        self.bits, self.segments, self.vocabulary = bits, segments, vocabulary
         self.frequent, self.counts, self.total, self.distinct = frequent, counts, total, distinct
 
-    def token_scores(self, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """log10 probability of each token."""
-        each, place = np.unique(hashes, return_inverse=True)
-        q = self.filter.levels(each)
-        count = np.where(q > 0, 2.0 ** (q - 1), 0.0)
-        p = ((count + 0.1) / (self.total + 0.1 * (self.distinct + 1)))[place]
-        if len(self.vocabulary):
-            code, both = _pairs(hashes, first, self.vocabulary)
-            before = (code // np.uint64(len(self.vocabulary))).astype(np.int64)
-            end = min(int(np.searchsorted(self.vocabulary, END)), len(self.vocabulary) - 1)
-            at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-            known = self.vocabulary[at] == hashes
-            context = np.append(False, known[:-1])
-            context[first[:-1]] = self.vocabulary[end] == END
-            codes, place = np.unique(code[both], return_inverse=True)
-            q = self.filter.levels(_mixed(codes ^ PAIR))
-            follow = np.zeros(len(hashes))
-            follow[both] = np.where(q > 0, 2.0 ** (q - 1), 0.0)[place] / np.maximum(self.after[before[both]], 1)
-            p = np.where(context, MIX * np.minimum(follow, 1.0) + (1 - MIX) * p, p)
-        return np.log10(p)
+    def shards(self) -> Iterator[Filter]:
+        """The filter in runs of whole segments of ``MAX_BITS`` together, one after the other."""
+        size = SEGMENT_BITS // 8
+        per = max(1, MAX_BITS // SEGMENT_BITS)
+        for start in range(0, self.segments, per):
+            data = np.zeros(min(per, self.segments - start) * size, np.uint8)
+            if self.bits is not None:
+                found = self.bits.filter(F.col("segment").between(start, start + per - 1)).toArrow()  # MAX_BITS at most
+                for number, bits in zip(found.column("segment").to_pylist(), found.column("bits")):
+                    data[(number - start) * size : (number - start + 1) * size] = np.frombuffer(bits.as_buffer(), np.uint8)
+            yield Filter(self.segments, data, start)
 
 
 def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
@@ -220,7 +220,7 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     total, distinct = unigrams.agg(F.sum("n"), F.count("*")).first()
     if not distinct:
         none = np.zeros(0, np.uint64)
-        return Model(Filter(1, np.zeros(SEGMENT_BITS // 8, np.uint8)), none, np.zeros(0), none, np.zeros(0, np.int64), 0, 0), unigrams
+        return Model(None, 1, none, none, np.zeros(0, np.int64), 0, 0), unigrams
     top = unigrams.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()  # 16 bytes a row on the driver
     keys, counts = (top.column(c).to_numpy().astype(np.int64) for c in ("key", "n"))
     keys = keys.view(np.uint64)
@@ -228,69 +228,96 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     words = spark.sparkContext.broadcast(vocabulary)
 
     def pairs(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        code, both = _pairs(hashes, first, words.value)
-        return _mixed(code[both] ^ PAIR)
+        known = _at(words.value, hashes)[1]
+        return _pair_keys(hashes, first)[known & _before(known, first, _at(words.value, END[None])[1][0])]
 
-    bigrams = stored(_counted(texts, pairs), "lm-bigrams")
+    bits, segments = _filter(stored(_counted(texts, pairs), "lm-bigrams"))
     order = np.argsort(keys)
-    frequent, counts = keys[order], counts[order]
-    # Every token but a text's end stands before another one, and every text starts after an end.
-    after = counts[np.searchsorted(frequent, vocabulary)].astype(np.float64)
-    entries = unigrams.union(bigrams)
-    levels = {r.q: r.n for r in entries.groupBy(_quantised(F.col("n")).alias("q")).agg(F.count("*").alias("n")).collect()}
-    return Model(_filter(entries, levels), vocabulary, after, frequent, counts, int(total), int(distinct)), unigrams
+    return Model(bits, segments, vocabulary, keys[order], counts[order], int(total), int(distinct)), unigrams
 
 
 def score(docs: DataFrame, model: Model, unigrams: DataFrame, carried: list[str]) -> DataFrame:
     """``carried`` columns of ``docs(text)`` with n_tokens, n_known, train_tokens, base_score and score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    spark = docs.sparkSession
     constant = float(np.log10(max(model.total + 0.1 * (model.distinct + 1), 1e-9)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        row = TaskContext.get().partitionId() << 36
-        for part in text_slices(batches, "_lm_text"):
-            hashes, first = tokens(part.column("_lm_text"))
-            n = len(first) - 1
-            each, place = np.unique(hashes, return_inverse=True)
-            if len(m.frequent):
-                at = np.minimum(np.searchsorted(m.frequent, each), len(m.frequent) - 1)
-                count = np.where(m.frequent[at] == each, m.counts[at], 0)
-            else:
-                count = np.zeros(len(each), np.int64)
-            ends = first[1:] - 1
-            add = lambda x: np.add.reduceat(x, first[:-1]) if n else np.zeros(0)  # noqa: E731  every text has its end
-            here = (count > 0)[place]
-            known = add(here.astype(np.int64))
-            base = add(np.where(here, np.log10(count + 0.1)[place], 0.0))
-            scores = add(m.token_scores(hashes, first))
-            owner = np.repeat(np.arange(n), np.diff(first))
-            rare = np.flatnonzero(~here)
-            # Rare tokens of a text with their numbers.
-            order = np.lexsort((hashes[rare], owner[rare]))
-            ro, rh = owner[rare][order], hashes[rare][order]
-            heads = np.flatnonzero(np.append(True, (ro[1:] != ro[:-1]) | (rh[1:] != rh[:-1]))) if len(ro) else np.zeros(0, np.int64)
-            times = np.diff(np.append(heads, len(ro)))
-            offsets = pa.array(np.searchsorted(ro[heads], np.arange(n + 1)).astype(np.int32))
-            pairs = pa.StructArray.from_arrays([pa.array(rh[heads].view(np.int64)), pa.array(times.astype(np.int32))], names=["key", "times"])
-            yield pa.RecordBatch.from_arrays(
-                [part.column(c) for c in carried]
-                + [pa.array(row + np.arange(n)), pa.array(np.diff(first)), pa.array(known), pa.array(base), pa.array(scores), pa.ListArray.from_arrays(offsets, pairs)],
-                names=[*carried, "_row", "n_tokens", "_known", "_base", "score", "_rare"],
-            )
-            row += n
-
-    source = docs.select(*carried, F.col("text").alias("_lm_text"))
-    schema = widened(docs.select(*carried), "_row long, n_tokens long, _known long, _base double, score double, _rare array<struct<key: long, times: int>>")
-    parts = stored(map_arrow(source, run, schema), "lm-parts")
-    rare = parts.select("_row", F.inline("_rare")).join(unigrams, "key")
-    found = rare.groupBy("_row").agg(F.sum("times").alias("_more"), F.sum(F.col("times") * F.log10(F.col("n") + F.lit(0.1))).alias("_logs"))
-    both = parts.drop("_rare").join(found, "_row", "left")
+    scale = model.total + 0.1 * (model.distinct + 1)
+    tokens_ = spark.sparkContext.broadcast((model.frequent, model.counts, model.vocabulary))
+
+    def scored(source: DataFrame, shard, whole: bool) -> DataFrame:
+        """Sums over the positions whose pair is in the shard, and those positions that need the count of a rare token."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            frequent, counts, vocabulary = tokens_.value
+            filter_ = shard.value
+            end_at, end_here = _at(frequent, END[None])
+            end = int(counts[end_at[0]]) if end_here[0] else 0
+            for part in text_slices(batches, "_lm_text"):
+                hashes, first = tokens(part.column("_lm_text"))
+                n = len(first) - 1
+                each, place = np.unique(hashes, return_inverse=True)
+                at, here = _at(frequent, each)
+                count = (np.where(here, counts[at], 0) if len(counts) else np.zeros(len(each), np.int64))[place]
+                here = here[place]
+                add = lambda x: np.add.reduceat(x, first[:-1]) if n else np.zeros(0)  # noqa: E731  every text has its end
+                keys = _pair_keys(hashes, first)
+                mine = np.flatnonzero(filter_.holds(keys))
+                codes, code_at = np.unique(keys[mine], return_inverse=True)
+                q = np.zeros(len(keys), np.int64)
+                q[mine] = filter_.levels(codes)[code_at]
+                known = _at(vocabulary, each)[1][place]
+                context = np.where(_before(known, first, _at(vocabulary, END[None])[1][0]), _before(count, first, end), 0)
+                p = (_edge(np.frexp(count)[1]) + 0.1) / scale
+                p = np.where(context > 0, MIX * np.minimum(_edge(q) / np.maximum(context, 1), 1.0) + (1 - MIX) * p, p)
+                rare = np.zeros(len(keys), bool)
+                rare[mine] = ~here[mine]
+                done = np.zeros(len(keys), bool)
+                done[mine] = ~rare[mine]
+                scores = add(np.where(done, np.log10(p), 0.0))
+                owner = np.repeat(np.arange(n), np.diff(first))
+                # Open positions of a text with their numbers.
+                left = np.flatnonzero(rare)
+                left = left[np.lexsort((keys[left], owner[left]))]
+                o, k = owner[left], keys[left]
+                heads = np.flatnonzero(np.append(True, (o[1:] != o[:-1]) | (k[1:] != k[:-1]))) if len(o) else np.zeros(0, np.int64)
+                times = np.diff(np.append(heads, len(o)))
+                left = left[heads]
+                offsets = pa.array(np.searchsorted(o[heads], np.arange(n + 1)).astype(np.int32))
+                fields = {"key": hashes[left].view(np.int64), "context": context[left], "q": q[left].astype(np.int32), "times": times.astype(np.int32)}
+                opened = pa.StructArray.from_arrays([pa.array(x) for x in fields.values()], names=list(fields))
+                columns = {c: part.column(c) for c in carried} if whole else {}
+                if whole:
+                    columns |= {"n_tokens": pa.array(np.diff(first)), "_known": pa.array(add(here.astype(np.int64))), "_base": pa.array(add(np.where(here, np.log10(count + 0.1), 0.0)))}
+                columns |= {"_row": part.column("_row"), "_score": pa.array(scores), "_open": pa.ListArray.from_arrays(offsets, opened)}
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+        ddl = "_row long, _score double, _open array<struct<key: long, context: long, q: int, times: int>>"
+        schema = widened(docs.select(*carried), f"n_tokens long, _known long, _base double, {ddl}") if whole else widened(docs.select(), ddl)
+        return stored(map_arrow(source if whole else source.select("_row", "_lm_text"), run, schema), "lm-parts")
+
+    source = docs.select(*carried, F.col("text").alias("_lm_text"), F.monotonically_increasing_id().alias("_row"))
+    if model.segments * SEGMENT_BITS > max(MAX_BITS, SEGMENT_BITS):  # several passes need the same row numbers
+        source = stored(source, "lm-docs")
+    parts: list[DataFrame] = []
+    for filter_ in model.shards():
+        shard = spark.sparkContext.broadcast(filter_)
+        parts.append(scored(source, shard, not parts))
+        shard.destroy()
+    rare = [x.select("_row", F.inline("_open")) for x in parts]
+    rare = reduce(DataFrame.union, rare).join(unigrams, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    edge = lambda n, q: F.when(n > 0, F.pow(F.lit(2.0), q - 1)).otherwise(0.0)
+    p = (edge(F.col("n"), _quantised(F.col("n"))) + 0.1) / F.lit(scale)
+    follow = F.least(edge(F.col("q"), F.col("q")) / F.greatest("context", F.lit(1)), F.lit(1.0))
+    p = F.when(F.col("context") > 0, MIX * follow + (1 - MIX) * p).otherwise(p)
+    seen = F.when(F.col("n") > 0, F.col("times")).otherwise(0)
+    more = rare.select("_row", seen.alias("_more"), (seen * F.log10(F.col("n") + F.lit(0.1))).alias("_logs"), (F.col("times") * F.log10(p)).alias("_points"))
+    more = reduce(DataFrame.union, [more, *(x.select("_row", F.lit(0), F.lit(0.0), "_score") for x in parts[1:])])
+    found = more.groupBy("_row").agg(*(F.sum(c).alias(c) for c in ("_more", "_logs", "_points")))
+    both = parts[0].drop("_open").join(found, "_row", "left")
     n_known = F.col("_known") + F.coalesce("_more", F.lit(0))
     logs = F.col("_base") + F.coalesce("_logs", F.lit(0.0)) + (F.col("n_tokens") - n_known) * F.log10(F.lit(0.1))
     return both.select(
         *carried, "n_tokens", n_known.alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * F.lit(constant)).alias("base_score"), "score",
+        (logs - F.col("n_tokens") * F.lit(constant)).alias("base_score"), (F.col("_score") + F.coalesce("_points", F.lit(0.0))).alias("score"),
     )
 
 

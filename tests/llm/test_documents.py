@@ -260,6 +260,30 @@ def test_filter_counts_are_lower_edges():
     assert (f.levels(np.arange(10, dtype=np.uint64)) == 0).all()
 
 
+def random_words(spark, texts, words, distinct):
+    r = random.Random(8)
+    rows = [(i, " ".join(f"w{r.randrange(distinct)}" for _ in range(words)), None, None, None) for i in range(texts)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def lm_scores(docs, carried="doc_id"):
+    model, unigrams = language_model.fit(docs)
+    return {r[0]: r for r in language_model.score(docs, model, unigrams, [carried]).collect()}, model
+
+
+def test_language_model_shards_hold_all(spark, monkeypatch):
+    """A filter in shards answers as one that fits as a whole; nothing rare is left out."""
+    docs = random_words(spark, 40, 4_000, 5_000)
+    whole, _ = lm_scores(docs)
+    monkeypatch.setattr(language_model, "MAX_BITS", language_model.SEGMENT_BITS)
+    cut, _ = lm_scores(docs)
+    assert set(cut) == set(whole)
+    for d, r in cut.items():
+        assert r[1:4] == whole[d][1:4]
+        assert r.base_score == pytest.approx(whole[d].base_score, rel=1e-12)
+        assert r.score == pytest.approx(whole[d].score, rel=1e-12)
+
+
 def test_language_model_empty(spark):
     model, unigrams = language_model.fit(empty(spark))
     assert language_model.score(empty(spark), model, unigrams, ["doc_id"]).count() == 0
