@@ -1,7 +1,7 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Unigram counts are taken over all training texts, bigram counts over pairs of the ``VOCABULARY`` most
-frequent tokens. A count c is quantised to level q = floor(log2 c) + 1, and a bigram enters one Bloom filter as the
+Unigram and bigram counts are taken over all training texts; a bigram is known by a mix of its tokens' 64-bit hashes.
+A count c is quantised to level q = floor(log2 c) + 1, and a bigram enters one Bloom filter as the
 pairs (n-gram, 1) .. (n-gram, q). A query probes (n-gram, 1), (n-gram, 2), ... until a miss; the number of hits
 gives back the count's lower edge 2**(q-1), which a false hit can raise with a small probability only.
 
@@ -11,11 +11,12 @@ of ``MAX_BITS`` (32 MB) are broadcast one after the other: each pass scores the
 sums of the passes are added. Unigram levels come from the exact counts, which the base score needs anyway.
 
 The probability of a token w after h is ``MIX * c(h, w) / c(h) + (1 - MIX) * (c(w) + 0.1) / (N + 0.1 * (V + 1))``, the
-first part only where h is in the vocabulary. Counts are rounded down and totals are exact, so
+first part only where h occurs in the training texts. Counts are rounded down and totals are exact, so
 probabilities sum to one at most.
 
 The base score needs exact counts of all tokens. Those of the ``FREQUENT`` most frequent are broadcast; other
-tokens, rare by definition, meet their counts in a join, which also scores their positions.
+tokens, rare by definition, meet their counts in a join, which also scores the positions that they or
+the tokens after them have.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from indexloom.llm.common import held_out, map_arrow, stored, table, text_bytes,
 from indexloom.llm.suffix_dedup import Prefixes, _mixed
 
 FOLDS = 10
+#: VOCABULARY bounds nothing any more: bigrams of all tokens are counted. Callers may still set it.
 VOCABULARY, FREQUENT, MIX = 8_192, 200_000, 0.5
 MAX_BITS, SEGMENT_BITS, HASHES = 1 << 28, 1 << 18, 4
 #: Entries that a task holds before it sends its counts on.
@@ -195,8 +197,8 @@ def _edge(q: np.ndarray) -> np.ndarray:
 class Model:
     """Frequent tokens with their counts, totals, and the filter as a stored table of segments."""
 
-    def __init__(self, bits: DataFrame | None, segments: int, vocabulary: np.ndarray, frequent: np.ndarray, counts: np.ndarray, total: int, distinct: int):
-        self.bits, self.segments, self.vocabulary = bits, segments, vocabulary
+    def __init__(self, bits: DataFrame | None, segments: int, frequent: np.ndarray, counts: np.ndarray, total: int, distinct: int):
+        self.bits, self.segments = bits, segments
         self.frequent, self.counts, self.total, self.distinct = frequent, counts, total, distinct
 
     def shards(self) -> Iterator[Filter]:
@@ -216,24 +218,16 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     """Model and exact counts (key, n) of ``docs(text)``; a null text is empty and still has its end."""
     texts = docs.select("text")
     unigrams = stored(_counted(texts, lambda hashes, first: hashes), "lm-unigrams")
-    spark = docs.sparkSession
     total, distinct = unigrams.agg(F.sum("n"), F.count("*")).first()
     if not distinct:
         none = np.zeros(0, np.uint64)
-        return Model(None, 1, none, none, np.zeros(0, np.int64), 0, 0), unigrams
+        return Model(None, 1, none, np.zeros(0, np.int64), 0, 0), unigrams
     top = unigrams.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()  # 16 bytes a row on the driver
     keys, counts = (top.column(c).to_numpy().astype(np.int64) for c in ("key", "n"))
     keys = keys.view(np.uint64)
-    vocabulary = np.sort(keys[:VOCABULARY])
-    words = spark.sparkContext.broadcast(vocabulary)
-
-    def pairs(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        known = _at(words.value, hashes)[1]
-        return _pair_keys(hashes, first)[known & _before(known, first, _at(words.value, END[None])[1][0])]
-
-    bits, segments = _filter(stored(_counted(texts, pairs), "lm-bigrams"))
+    bits, segments = _filter(stored(_counted(texts, _pair_keys), "lm-bigrams"))
     order = np.argsort(keys)
-    return Model(bits, segments, vocabulary, keys[order], counts[order], int(total), int(distinct)), unigrams
+    return Model(bits, segments, keys[order], counts[order], int(total), int(distinct)), unigrams
 
 
 def score(docs: DataFrame, model: Model, unigrams: DataFrame, carried: list[str]) -> DataFrame:
@@ -241,13 +235,13 @@ def score(docs: DataFrame, model: Model, unigrams: DataFrame, carried: list[str]
     spark = docs.sparkSession
     constant = float(np.log10(max(model.total + 0.1 * (model.distinct + 1), 1e-9)))
     scale = model.total + 0.1 * (model.distinct + 1)
-    tokens_ = spark.sparkContext.broadcast((model.frequent, model.counts, model.vocabulary))
+    tokens_ = spark.sparkContext.broadcast((model.frequent, model.counts))
 
     def scored(source: DataFrame, shard, whole: bool) -> DataFrame:
         """Sums over the positions whose pair is in the shard, and those positions that need the count of a rare token."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            frequent, counts, vocabulary = tokens_.value
+            frequent, counts = tokens_.value
             filter_ = shard.value
             end_at, end_here = _at(frequent, END[None])
             end = int(counts[end_at[0]]) if end_here[0] else 0
@@ -264,12 +258,11 @@ def score(docs: DataFrame, model: Model, unigrams: DataFrame, carried: list[str]
                 codes, code_at = np.unique(keys[mine], return_inverse=True)
                 q = np.zeros(len(keys), np.int64)
                 q[mine] = filter_.levels(codes)[code_at]
-                known = _at(vocabulary, each)[1][place]
-                context = np.where(_before(known, first, _at(vocabulary, END[None])[1][0]), _before(count, first, end), 0)
+                context = _before(count, first, end)
                 p = (_edge(np.frexp(count)[1]) + 0.1) / scale
                 p = np.where(context > 0, MIX * np.minimum(_edge(q) / np.maximum(context, 1), 1.0) + (1 - MIX) * p, p)
                 rare = np.zeros(len(keys), bool)
-                rare[mine] = ~here[mine]
+                rare[mine] = ~(here & (context > 0))[mine]
                 done = np.zeros(len(keys), bool)
                 done[mine] = ~rare[mine]
                 scores = add(np.where(done, np.log10(p), 0.0))
@@ -282,15 +275,21 @@ def score(docs: DataFrame, model: Model, unigrams: DataFrame, carried: list[str]
                 times = np.diff(np.append(heads, len(o)))
                 left = left[heads]
                 offsets = pa.array(np.searchsorted(o[heads], np.arange(n + 1)).astype(np.int32))
-                fields = {"key": hashes[left].view(np.int64), "context": context[left], "q": q[left].astype(np.int32), "times": times.astype(np.int32)}
-                opened = pa.StructArray.from_arrays([pa.array(x) for x in fields.values()], names=list(fields))
+                # Only what is to be looked up has its hash; the others have their counts.
+                before = _before(hashes, first, END)
+                opened = {
+                    "key": pa.array(hashes[left].view(np.int64), mask=here[left]), "n": pa.array(count[left]),
+                    "before": pa.array(before[left].view(np.int64), mask=context[left] > 0), "context": pa.array(context[left]),
+                    "q": pa.array(q[left].astype(np.int32)), "times": pa.array(times.astype(np.int32)),
+                }
+                opened = pa.StructArray.from_arrays(list(opened.values()), names=list(opened))
                 columns = {c: part.column(c) for c in carried} if whole else {}
                 if whole:
                     columns |= {"n_tokens": pa.array(np.diff(first)), "_known": pa.array(add(here.astype(np.int64))), "_base": pa.array(add(np.where(here, np.log10(count + 0.1), 0.0)))}
                 columns |= {"_row": part.column("_row"), "_score": pa.array(scores), "_open": pa.ListArray.from_arrays(offsets, opened)}
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-        ddl = "_row long, _score double, _open array<struct<key: long, context: long, q: int, times: int>>"
+        ddl = "_row long, _score double, _open array<struct<key: long, n: long, before: long, context: long, q: int, times: int>>"
         schema = widened(docs.select(*carried), f"n_tokens long, _known long, _base double, {ddl}") if whole else widened(docs.select(), ddl)
         return stored(map_arrow(source if whole else source.select("_row", "_lm_text"), run, schema), "lm-parts")
 
@@ -303,12 +302,22 @@ def score(docs: DataFrame, model: Model, unigrams: DataFrame, carried: list[str]
         parts.append(scored(source, shard, not parts))
         shard.destroy()
     rare = [x.select("_row", F.inline("_open")) for x in parts]
-    rare = reduce(DataFrame.union, rare).join(unigrams, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rare = reduce(DataFrame.union, rare)
+
+    def met(df: DataFrame, key: str, n: str) -> DataFrame:
+        """``df`` with the count of each ``key``, none of them null."""
+        counts = unigrams.select(F.col("key").alias(key), F.col("n").alias("_n"))
+        return df.join(counts, key, "left").withColumn(n, F.coalesce("_n", F.lit(0))).select(rare.columns)
+
+    # Apart, so that no null keys meet in one task.
+    one, other = F.col("key").isNotNull(), F.col("before").isNotNull()
+    alone = [met(rare.filter(one & ~other), "key", "n"), met(rare.filter(~one & other), "before", "context")]
+    rare = reduce(DataFrame.union, [*alone, met(met(rare.filter(one & other), "key", "n"), "before", "context")])
     edge = lambda n, q: F.when(n > 0, F.pow(F.lit(2.0), q - 1)).otherwise(0.0)
     p = (edge(F.col("n"), _quantised(F.col("n"))) + 0.1) / F.lit(scale)
     follow = F.least(edge(F.col("q"), F.col("q")) / F.greatest("context", F.lit(1)), F.lit(1.0))
     p = F.when(F.col("context") > 0, MIX * follow + (1 - MIX) * p).otherwise(p)
-    seen = F.when(F.col("n") > 0, F.col("times")).otherwise(0)
+    seen = F.when(F.col("key").isNotNull() & (F.col("n") > 0), F.col("times")).otherwise(0)
     more = rare.select("_row", seen.alias("_more"), (seen * F.log10(F.col("n") + F.lit(0.1))).alias("_logs"), (F.col("times") * F.log10(p)).alias("_points"))
     more = reduce(DataFrame.union, [more, *(x.select("_row", F.lit(0), F.lit(0.0), "_score") for x in parts[1:])])
     found = more.groupBy("_row").agg(*(F.sum(c).alias(c) for c in ("_more", "_logs", "_points")))

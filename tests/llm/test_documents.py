@@ -284,6 +284,23 @@ def test_language_model_shards_hold_all(spark, monkeypatch):
         assert r.score == pytest.approx(whole[d].score, rel=1e-12)
 
 
+@pytest.mark.parametrize("frequent", [200_000, 50])
+def test_language_model_counts_all_bigrams(spark, monkeypatch, frequent):
+    """Pairs outside the most frequent tokens count as well; false hits raise a score a little, nothing lowers it."""
+    monkeypatch.setattr(language_model, "VOCABULARY", 20)
+    monkeypatch.setattr(language_model, "FREQUENT", frequent)
+    docs = random_words(spark, 60, 500, 600)
+    got, model = lm_scores(docs)
+    texts = {r.doc_id: [None, *r.text.split(), None] for r in docs.collect()}
+    one = collections.Counter(w for t in texts.values() for w in t[1:])
+    two = collections.Counter(x for t in texts.values() for x in zip(t, t[1:]))
+    scale = model.total + 0.1 * (model.distinct + 1)
+    edge = lambda n: 2 ** (n.bit_length() - 1) if n else 0
+    for d, t in texts.items():
+        want = sum(math.log10(0.5 * min(edge(two[x]) / one[x[0]], 1) + 0.5 * (edge(one[x[1]]) + 0.1) / scale) for x in zip(t, t[1:]))
+        assert want - 1e-6 <= got[d].score <= want + 0.06 * len(t)
+
+
 def test_language_model_empty(spark):
     model, unigrams = language_model.fit(empty(spark))
     assert language_model.score(empty(spark), model, unigrams, ["doc_id"]).count() == 0
