@@ -14,6 +14,8 @@ every probe of the bucket visits, so no task holds an unbounded group. A task se
 few best per query, never candidate pairs. Of vectors that are equal in all components
 only the smallest ids can be among the nearest, so a class of copies is indexed
 once with its ``k + 1`` smallest ids: this loses nothing.
+
+A query whose buckets hold fewer than ``k`` others looks through the whole index, in parts.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from indexloom.llm.common import map_arrow, stored, table
 TABLES, FUNCTIONS, WIDTH, PROBES = 10, 10, 2.5, 100
 #: Index rows that one task should hold, and rows of one bucket that stay together.
 BLOCK, BUCKET = 40_000, 20_000
+#: Queries that look through a part of the whole index together.
+ASKERS = 200
 SEED = 5
 
 
@@ -194,7 +198,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
         return pa.table({"query_id": pa.array(found_q, pa.int64()), "vec_id": pa.array(found_id, pa.int64()), "score": pa.array(found_s, pa.float64())})
 
     groups = dealt.groupBy("block", "part").cogroup(asked.groupBy("block", "part"))
-    found = groups.applyInArrow(search, "query_id long, vec_id long, score double")
+    found = stored(groups.applyInArrow(search, "query_id long, vec_id long, score double"), "ann-found")
+    met = found.groupBy(F.col("query_id").alias("id")).agg(F.countDistinct("vec_id").alias("met"))
+    short = stored(wanted.join(met, "id", "left").filter(F.coalesce("met", F.lit(0)) < k).select("id", "v"), "ann-short")
+    asking = short.count()
+    if asking:
+        slices, sets = -(-max(n, 1) // BUCKET), -(-asking // ASKERS)
+        every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
+        bucket = F.lit(0).cast("long")
+        whole = index.select(F.pmod(F.xxhash64("ids"), F.lit(slices)).alias("block"), every(sets).alias("part"), bucket.alias("bucket"), "v", "ids")
+        rest = short.select(every(slices).alias("block"), F.pmod(F.xxhash64("id"), F.lit(sets)).alias("part"), "id", F.array(bucket).alias("buckets"), "v")
+        more = whole.groupBy("block", "part").cogroup(rest.groupBy("block", "part")).applyInArrow(search, found.schema)
+        found = found.union(more)
     merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return merged.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -51,6 +51,22 @@ def test_nearest_splits_hot_buckets(spark, monkeypatch):
     test_nearest_odd(spark)
 
 
+@pytest.mark.parametrize("n", [1, 4, 8])
+def test_nearest_few_vectors(spark, n):
+    """Small tables give every query five others, or all where there are fewer."""
+    r = np.random.default_rng(n)
+    x = r.normal(size=(n, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {i: [] for i in range(n)}
+    for row in sorted(ann.nearest(df, df).collect(), key=lambda row: row["rank"]):
+        found[row.query_id].append(row.vec_id)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    for i in range(n):
+        assert len(found[i]) == min(5, n - 1)
+        if n <= 5:
+            assert found[i] == [j for j in np.argsort(-unit @ unit[i]).tolist() if j != i]
+
+
 def test_recall(spark, sf):
     vectors = table(spark, sf, "embeddings")
     rows = [(r.vec_id, np.array(r.embedding, float)) for r in vectors.collect()]
