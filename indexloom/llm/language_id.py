@@ -30,11 +30,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.llm.common import map_arrow, table, text_slices, widened
+from indexloom.llm.common import map_arrow, table, text_bytes, text_slices, widened
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Longest piece and longest word in bytes (a longer run of letters counts as several words).
 PIECE, WORD_BYTES = 16, 48
+#: Bytes of text whose distinct words are found together, words of a lattice, slots of the table of pieces (2**18).
+SLICE, WORDS, SLOTS = 1 << 22, 8_192, 1 << 18
 #: Documents of an early round (in expectation), rounds, languages of a part of the model and of a numpy pass.
 SAMPLE, ROUNDS, PART, TILE = 20_000, 2, 128, 8
 #: Weights of the vocabulary's order in the pooled probabilities, and of these in a language's; scale of a byte against underflow.
@@ -68,12 +70,12 @@ class Pieces:
         """Open addressing: hash of every beginning of a piece, and its number (-1: no piece itself)."""
         known = {p: i for i, p in enumerate(self.pieces)}
         runs = {p[:n]: known.get(p[:n], -1) for p in self.pieces for n in range(1, len(p) + 1)}
-        keys, values = np.zeros(1 << 21, np.uint64), np.full(1 << 21, -1, np.int32)
+        keys, values = np.zeros(SLOTS, np.uint64), np.full(SLOTS, -1, np.int32)
         for run, number in runs.items():
             h = 0
             for b in run:
                 h = (h * int(_STEP) + b + 1) & (1 << 64) - 1
-            at = (h * int(_STEP) & (1 << 64) - 1) >> 43
+            at = (h * int(_STEP) & (1 << 64) - 1) >> 46
             while keys[at]:
                 at = (at + 1) % len(keys)
             keys[at], values[at] = h, number
@@ -82,7 +84,7 @@ class Pieces:
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether each hash begins a piece, and the piece it is."""
         keys, values = self.slots
-        at = ((hashes * _STEP) >> np.uint64(43)).astype(np.int64)
+        at = ((hashes * _STEP) >> np.uint64(46)).astype(np.int64)
         open_ = np.flatnonzero((keys[at] != hashes) & (keys[at] != 0))
         while len(open_):
             at[open_] = (at[open_] + 1) % len(keys)
@@ -93,14 +95,19 @@ class Pieces:
 class Lattice:
     """All pieces at all places of some words."""
 
-    def __init__(self, words: list[bytes], pieces: Pieces) -> None:
-        sizes = np.array([len(w) for w in words], np.int64)
+    def __init__(self, words: pa.StringArray, pieces: Pieces) -> None:
+        raw, bounds = text_bytes(words)
+        sizes = np.diff(bounds) + 1  # with the space in front
         self.n = len(words)
         #: A node per place in a word, the end included; words lie one behind the other.
         self.first = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]).astype(np.int64)
         self.last = self.first + sizes
         self.nodes = int(sizes.sum()) + self.n
-        text = np.frombuffer(b"\0".join(words) + b"\0", np.uint8).astype(np.uint64) + np.uint64(1)
+        text = np.zeros(self.nodes, np.uint64)
+        letter = np.ones(self.nodes, bool)
+        letter[self.first] = letter[self.last] = False
+        text[self.first], text[letter] = 0x20, raw
+        text += np.uint64(1)
         place = np.arange(self.nodes) - np.repeat(self.first, sizes + 1)
         left = np.repeat(sizes, sizes + 1) - place
         at, hashes = np.flatnonzero(left > 0), np.zeros(self.nodes, np.uint64)
@@ -132,7 +139,7 @@ class Lattice:
         alpha[self.first] = 1
         for lo, hi in zip(self.bounds, self.bounds[1:]):
             # Edges from one place differ in word or length, so no end is met twice.
-            alpha[self.end[lo:hi]] += alpha[self.start[lo:hi]] * weight[lo:hi]
+            alpha[self.end[lo:hi]] += np.take(alpha, self.start[lo:hi], axis=0) * weight[lo:hi]
         return alpha
 
     def expected(self, weight: np.ndarray, counts: np.ndarray, n_pieces: int) -> np.ndarray:
@@ -146,40 +153,37 @@ class Lattice:
         whole = np.repeat(counts / alpha[self.last], self.size + 1)
         return np.bincount(self.piece, alpha[self.start] * weight * beta[self.end] * whole[self.start], n_pieces)
 
-    def weights(self, table_: np.ndarray, pieces_bytes: np.ndarray) -> np.ndarray:
-        """Scaled probability of each edge's piece, by column."""
-        return table_[self.piece] * (BYTE ** pieces_bytes[self.piece])[:, None]
+    def log_sums(self, scaled: np.ndarray) -> np.ndarray:
+        """Per word and language the logarithm of its probability; ``scaled`` holds a row per piece."""
+        parts = [self.forward(np.take(scaled[:, c : c + TILE], self.piece, axis=0))[self.last] for c in range(0, scaled.shape[1], TILE)]
+        return np.log(np.hstack(parts)) - self.size[:, None] * np.log(BYTE)
 
-    def log_sums(self, table_: np.ndarray, pieces_bytes: np.ndarray) -> np.ndarray:
-        """Per word and language the logarithm of its probability."""
-        out = [np.log(self.forward(self.weights(table_[:, c : c + TILE], pieces_bytes))[self.last]) for c in range(0, table_.shape[1], TILE)]
-        return np.hstack(out) - self.size[:, None] * np.log(BYTE)
 
-
-def words_of(text: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def words_of(text: pa.Array) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
     """Distinct words of some texts, and for each occurrence its number and its text."""
     split = pc.split_pattern_regex(pc.utf8_lower(text), r"\P{L}+")
     owner = np.repeat(np.arange(len(text)), np.diff(split.offsets.to_numpy()))
     tokens = split.flatten().dictionary_encode()
-    number = tokens.indices.to_numpy()
-    names = [w.encode("utf-8") for w in tokens.dictionary.to_pylist()]
-    words: list[bytes] = []
-    span = np.zeros((len(names), 2), np.int64)
-    for i, name in enumerate(names):
-        span[i, 0] = len(words)
-        while len(name) >= WORD_BYTES:
-            cut = WORD_BYTES - 1
-            while name[cut] & 0xC0 == 0x80:
-                cut -= 1
-            words.append(b" " + name[:cut])
-            name = name[cut:]
-        if name:
-            words.append(b" " + name)
-        span[i, 1] = len(words) - span[i, 0]
-    times = span[number, 1]
-    owner = np.repeat(owner, times)
-    starts = np.repeat(span[number, 0] - np.concatenate([[0], np.cumsum(times)[:-1]]), times) if len(number) else np.zeros(0, np.int64)
-    return words, starts + np.arange(len(owner)), owner
+    number, words = tokens.indices.to_numpy(), tokens.dictionary
+    sizes = pc.binary_length(words).to_numpy(zero_copy_only=False)
+    # What a run of letters stands for: itself, nothing (between two gaps), or several words behind the others.
+    first, times = np.arange(len(words)), (sizes > 0).astype(np.int64)
+    cuts: list[bytes] = []
+    for i in np.flatnonzero(sizes >= WORD_BYTES):
+        run, first[i] = words[i].as_py().encode("utf-8"), len(words) + len(cuts)
+        while run:
+            end = min(WORD_BYTES - 1, len(run))
+            while end < len(run) and run[end] & 0xC0 == 0x80:
+                end -= 1
+            cuts.append(run[:end])
+            run = run[end:]
+        times[i] = len(words) + len(cuts) - first[i]
+    words = pc.if_else(pa.array(sizes < WORD_BYTES), words, "")
+    if cuts:
+        words = pa.concat_arrays([words, pa.array(cuts, pa.binary()).cast(pa.string())])
+    each = times[number]
+    starts = np.repeat(first[number] - (np.cumsum(each) - each), each)
+    return words, starts + np.arange(len(starts)), np.repeat(owner, each)
 
 
 @dataclass(frozen=True)
@@ -194,15 +198,17 @@ class Model:
         return Model(self.pieces, self.languages[start : start + PART], np.ascontiguousarray(self.table[:, start : start + PART]))
 
     @cached_property
-    def sizes(self) -> np.ndarray:
-        return np.array([len(p) for p in self.pieces.pieces], np.float64)
+    def scaled(self) -> np.ndarray:
+        """Probabilities times ``BYTE`` per byte of the piece."""
+        return self.table * BYTE ** np.array([len(p) for p in self.pieces.pieces], np.float64)[:, None]
 
     def log_probabilities(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Per text and language the logarithm of its probability; and how many words each text has."""
         words, number, owner = words_of(text)
         out = np.zeros((len(text), len(self.languages)))
-        if words:
-            each = Lattice(words, self.pieces).log_sums(self.table, self.sizes)
+        if len(owner):
+            parts = (words.slice(start, WORDS) for start in range(0, len(words), WORDS))
+            each = np.vstack([Lattice(part, self.pieces).log_sums(self.scaled) for part in parts])
             for c in range(out.shape[1]):
                 out[:, c] = np.bincount(owner, each[number, c], len(text))
         return out, np.bincount(owner, minlength=len(text))
@@ -215,15 +221,16 @@ def _count(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, sums = shared.value, {}
         column = {lang: i for i, lang in enumerate(model.languages)}
-        for part in text_slices(batches, "text"):
+        for part in text_slices(batches, "text", SLICE):
             langs = part.column("lang")
             for lang in pc.unique(langs).to_pylist():
                 words, number, _ = words_of(part.column("text").filter(pc.equal(langs, lang)))
-                if words:
-                    lattice = Lattice(words, model.pieces)
-                    weight = lattice.weights(model.table[:, [column.get(lang, 0)]], model.sizes)[:, 0]
-                    found = lattice.expected(weight, np.bincount(number, minlength=len(words)).astype(np.float64), len(model.pieces.pieces))
-                    sums[lang] = sums.get(lang, 0) + found
+                if len(number):
+                    counts, scaled = np.bincount(number, minlength=len(words)).astype(np.float64), model.scaled[:, column.get(lang, 0)]
+                    for start in range(0, len(words), WORDS):
+                        lattice = Lattice(words.slice(start, WORDS), model.pieces)
+                        found = lattice.expected(scaled[lattice.piece], counts[start : start + WORDS], len(scaled))
+                        sums[lang] = sums.get(lang, 0) + found
         for lang, found in sums.items():
             used = np.flatnonzero(found)
             yield pa.RecordBatch.from_arrays(
@@ -273,7 +280,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", name: str = "lan
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             model, names = shared.value, [*carried, "_lid_text", "_lid", "_best", "_sum"]
-            for part in text_slices(batches, "_lid_text"):
+            for part in text_slices(batches, "_lid_text", SLICE):
                 logs, n_words = model.log_probabilities(part.column("_lid_text"))
                 old = {c: part.column(c).to_numpy(zero_copy_only=False) for c in ("_best", "_sum")}
                 old = {c: np.where(np.isnan(x.astype(np.float64)), -np.inf, x.astype(np.float64)) for c, x in old.items()}
