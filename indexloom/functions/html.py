@@ -27,6 +27,8 @@ ANY_TAG = r"[A-Za-z][A-Za-z0-9]*"
 
 
 _REFERENCE = r"&(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
+_RARE = r"&(?!amp;)(?:#|[A-Za-z])[A-Za-z0-9]*;"
+_FREQUENT = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#34;": '"', "&#39;": "'", "&nbsp;": "\xa0"}
 _AMPERSAND = r"&(?:amp|AMP|#0*38|#[xX]0*26);"
 
 
@@ -69,10 +71,17 @@ def decode_references(text: Column) -> Column:
         named = F.when(F.instr(F.lit(_NAMED), entry) > 0, value).otherwise(whole)
         return F.replace(acc, whole, F.when(ref.startswith("#"), char).otherwise(named))
 
-    def decode(raw: Column) -> Column:
+    def named_or_numbered(raw: Column) -> Column:
         refs = F.array_distinct(F.regexp_extract_all(F.regexp_replace(raw, _AMPERSAND, ""), F.lit(_REFERENCE), 1))
-        decoded = F.regexp_replace(F.aggregate(refs, raw, put), _AMPERSAND, "&")
-        return F.when(raw.contains("&"), decoded).otherwise(raw)
+        return F.aggregate(refs, raw, put)
+
+    def decode(raw: Column) -> Column:
+        frequent = raw
+        for ref, char in _FREQUENT.items():
+            frequent = F.replace(frequent, F.lit(ref), F.lit(char))
+        # What these give can't begin or end a reference; few texts hold any other.
+        rest = let(frequent, lambda t: F.when(t.rlike(_RARE), named_or_numbered(t)).otherwise(t))
+        return F.when(raw.contains("&"), F.regexp_replace(rest, _AMPERSAND, "&")).otherwise(raw)
 
     return let(text, decode)
 
