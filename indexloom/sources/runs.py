@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from indexloom.registry import ENTITIES
-from indexloom.sources import files
+from indexloom.sources import arrays, files
 
 RUN_PREFIX = "run_"
+RUN_COLUMN = "run_id"
 
 
 def latest_run(spark: SparkSession, root: str, prefix: str = RUN_PREFIX) -> str:
@@ -32,12 +33,12 @@ def read_entity(
     """Rows of one entity file. Absent fields become null, unknown fields are dropped.
 
     Fields are read as text (keys such as '1.0' must stay text; a bad number
-    rejects its own row later, in cleaning). A JSON array file is one task,
-    however long; write Parquet (``write_run``) right after. ``array=False``
-    reads one object per line, which splits.
+    rejects its own row later, in cleaning). A JSON array is read in byte ranges
+    by many tasks (``arrays``); ``array=False`` reads one object per line.
     """
     schema = ENTITIES[entity].schema(as_text)
-    return spark.read.schema(schema).option("multiLine", array).json(f"{run_dir}/{entity}{suffix}")
+    path = f"{run_dir}/{entity}{suffix}"
+    return arrays.read_array(spark, path, schema) if array else spark.read.schema(schema).json(path)
 
 
 def read_run(spark: SparkSession, run_dir: str, **options) -> dict[str, DataFrame]:
@@ -56,6 +57,43 @@ def write_run(frames: dict[str, DataFrame], root: str, run_id: str, fmt: str = "
     return target
 
 
+def store_run(frames: dict[str, DataFrame], store: str, run_id: str) -> None:
+    """Add a run to the store: per entity one table partitioned by run. Writing a run again replaces its partitions only."""
+    for name, df in frames.items():
+        rows = df.withColumn(RUN_COLUMN, F.lit(run_id))
+        # A run without rows of an entity still gets its partition, so that it counts as complete.
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN_COLUMN).parquet(f"{store}/{name}")
+        files.make_folder(df.sparkSession, f"{store}/{name}/{RUN_COLUMN}={run_id}")
+
+
+def stored_runs(spark: SparkSession, store: str, entities: Sequence[str] = tuple(ENTITIES)) -> list[str]:
+    """Runs that have a partition in every entity's table, in text order; one still being written is not among them."""
+    found = [
+        {n.removeprefix(f"{RUN_COLUMN}=") for n in files.list_names(spark, f"{store}/{e}", directories=True) if n.startswith(f"{RUN_COLUMN}=")}
+        for e in entities
+    ]
+    return sorted(set.intersection(*found)) if found else []
+
+
+def read_stored(
+    spark: SparkSession, store: str, entity: str, run_id: str | None = None, schema: T.StructType | None = None,
+    entities: Sequence[str] = tuple(ENTITIES),
+) -> DataFrame:
+    """One entity of a run, by default of the latest complete one.
+
+    The run is known from folder names before the query is planned, so the scan lists and
+    reads that one partition. ``schema`` is the entity's own if left out.
+    """
+    if run_id is None:
+        runs = stored_runs(spark, store, entities)
+        if not runs:
+            raise FileNotFoundError(f"no complete run below {store}")
+        run_id = runs[-1]
+    columns = schema or ENTITIES[entity].schema()
+    full = T.StructType([*columns.fields, T.StructField(RUN_COLUMN, T.StringType())])
+    return spark.read.schema(full).parquet(f"{store}/{entity}").where(F.col(RUN_COLUMN) == run_id)
+
+
 def read_latest(snapshots: DataFrame, run_column: str) -> DataFrame:
     """Rows of the greatest run in a table of runs.
 

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from indexloom.functions import text as X
 from indexloom.operators import checks
-from indexloom.operators.keys import cascade_report, dense_ids, drop_dangling, natural_id, reference_violations, resolve, unresolved
+from indexloom.operators.keys import LOAD_ORDER, cascade_report, dense_ids, drop_dangling, natural_id, reference_violations, resolve, unresolved
 from indexloom.operators.load import load_shape
 from indexloom.registry import ENTITIES, Col
-from indexloom.session import scratch_path
-from indexloom.sources import publish, runs
+from indexloom.session import materialize, scratch_path
+from indexloom.sources import arrays, publish, runs
 from indexloom.workload.roles import ENTITY_VIEWS, Query, frames, micros, plain, sql, table, uid, view, view_sql
 
 # ------------------------------------------------------------------ keys and references
@@ -351,17 +351,22 @@ def _spdx(spark, sf):
 
 
 def _read_entity(spark, sf):
-    """Write releases as JSON lines, read them back as entity text fields."""
-    rows = view(spark, sf, "release")
+    """Write releases as one JSON array, read it back in byte ranges as entity text fields."""
     path = scratch_path(spark, "entity")
-    runs.write_run({"release": rows}, path, "run_1", "json")
-    back = runs.read_entity(spark, f"{path}/run_1", "release", array=False)
+    arrays.write_array(view(spark, sf, "release"), f"{path}/release.json")
+    back = runs.read_entity(spark, path, "release")
     return back.select("package_name", "version", "is_prerelease", "yanked", "lifecycle_status", "yanked_reason", "summary", "requires_python")
 
 
 def _latest_run(spark, sf):
-    days = table(spark, sf, "events").withColumn("run_id", F.concat(F.lit("run_"), F.date_format("ts", "yyyyMMdd")))
-    return runs.read_latest(days.select("run_id", "event_id", "event_type", "value"), "run_id")
+    """Events by day as runs of a store; the latest is one partition."""
+    days = table(spark, sf, "events").select(
+        "event_id", "event_type", "value", F.concat(F.lit("run_"), F.date_format("ts", "yyyyMMdd")).alias(runs.RUN_COLUMN)
+    )
+    store = scratch_path(spark, "runs")
+    days.write.partitionBy(runs.RUN_COLUMN).parquet(f"{store}/events")
+    schema = days.drop(runs.RUN_COLUMN).schema
+    return runs.read_stored(spark, store, "events", schema=schema, entities=("events",)).select("run_id", "event_id", "event_type", "value")
 
 
 def _completeness(spark, sf):
@@ -370,19 +375,32 @@ def _completeness(spark, sf):
 
 
 def _sink_entities(spark, sf):
-    made = frames(spark, sf, "package", "release_keyword", "project_link")
-    path = scratch_path(spark, "run")
-    runs.write_run(made, path, "run_1")
-    return runs.row_counts({n: spark.read.parquet(f"{path}/run_1/{n}") for n in made})
+    """All entities of two runs into a store, the second written again; what the latest run holds."""
+    made = frames(spark, sf, *ENTITIES)
+    store = scratch_path(spark, "store")
+    runs.store_run({n: df.limit(0) for n, df in made.items()}, store, "run_1")
+    for name, df in made.items():
+        runs.store_run({name: df}, store, "run_2")
+    runs.store_run({"package": made["package"]}, store, "run_2")
+    runs.store_run({"package": made["package"]}, store, "run_3")  # incomplete: not the latest run
+    return runs.row_counts({n: runs.read_stored(spark, store, n) for n in made})
 
 
 def _full_refresh(spark, sf):
-    made = frames(spark, sf, "package", "release", "release_keyword")
+    """Fifteen tables checked, published over an earlier version and read back: (entity, n_rows, n_ids)."""
+    made = {n: materialize(df, n) for n, df in frames(spark, sf, *ENTITIES).items()}
     root = scratch_path(spark, "store")
-    tables = {n: load_shape(made, n) for n in made}
-    publish.refresh(tables, root, "v1", {"reference": reference_violations(made)})
-    publish.refresh({n: t.limit(0) if n == "package" else t for n, t in tables.items()}, root, "v0")
-    return publish.read_published(spark, root, "release_keyword").groupBy("keyword").agg(F.count("*").alias("n_rows"))
+    made["_classifier_ids"] = materialize(load_shape(made, "classifier"), "classifier-ids")
+    tables = {n: made["_classifier_ids"] if n == "classifier" else load_shape(made, n) for n in LOAD_ORDER}
+    publish.refresh({n: t.limit(0) for n, t in tables.items()}, root, "v0")
+    checked = {n: df for n, df in made.items() if n != "maintainer" and n in ENTITIES}  # some links have no profile here
+    publish.refresh(tables, root, "v1", {"reference": reference_violations(checked)}, after="v0")
+    lines = None
+    for name in LOAD_ORDER:
+        back = publish.read_published(spark, root, name)
+        line = back.agg(F.count("*").alias("n_rows"), F.countDistinct(back.columns[0]).alias("n_ids")).select(F.lit(name).alias("entity"), "n_rows", "n_ids")
+        lines = line if lines is None else lines.unionByName(line)
+    return lines
 
 
 def _row_counts(spark, sf):
@@ -392,8 +410,15 @@ def _row_counts(spark, sf):
 
 _COUNTED = ("nation", "customer", "orders", "lineitem", "supplier", "part", "documents", "pages")
 _COUNTS = " union all ".join(f"select '{n}' as entity, count(*) as n_rows from {n}" for n in _COUNTED)
-_SUNK = " union all ".join(
-    f"select '{n}' as entity, count(*) as n_rows from ({view_sql(n)}) t" for n in ("package", "release_keyword", "project_link")
+_SUNK = " union all ".join(f"select '{n}' as entity, count(*) as n_rows from ({view_sql(n)}) t" for n in ENTITIES)
+#: What the first column of each stored table identifies, as natural key columns.
+_FIRST = {n: e.key for n, e in ENTITIES.items()} | {
+    **dict.fromkeys(("project_link", "tagged_with", "release_keyword", "release_extra"), _REL), "maintained_by": ("package_name",),
+    **dict.fromkeys(("file_hash", "release_file_tag"), _FIL), "maintainer": ("lower(username)",),
+}
+_REFRESHED = " union all ".join(
+    f"select '{n}' as entity, count(*) as n_rows, count(distinct concat_ws(chr(1), {', '.join(f'cast({k} as varchar)' for k in keys)})) as n_ids from ({view_sql(n)}) t"
+    for n, keys in _FIRST.items()
 )
 
 QUERIES = {
@@ -546,9 +571,7 @@ QUERIES = {
     "sink_entities": Query(
         _sink_entities, f"{_SUNK} union all select 'total', cast(sum(n_rows) as bigint) from ({_SUNK}) s"
     ),
-    "sink_full_refresh": Query(
-        _full_refresh, f"select keyword, count(*) as n_rows from ({view_sql('release_keyword')}) k group by keyword"
-    ),
+    "sink_full_refresh": Query(_full_refresh, _REFRESHED),
     "load_row_counts": Query(
         _row_counts, f"{_COUNTS} union all select 'total', cast(sum(n_rows) as bigint) from ({_COUNTS}) s"
     ),

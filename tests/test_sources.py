@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from indexloom.registry import ENTITIES
 from indexloom.session import materialize, scratch_path
-from indexloom.sources import captures, files, publish, runs
+from indexloom.sources import arrays, captures, files, publish, runs
 from page_samples import page, profile
 
 
@@ -76,6 +76,68 @@ def test_read_latest_prunes_to_one_run(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(run_id" in plan
 
 
+def test_run_store(spark, tmp_path):
+    store, two = str(tmp_path / "store"), ("package", "organization")
+    packages = spark.createDataFrame([("a", None, None), ("b", "archived", "o")], ENTITIES["package"].schema())
+    owners = spark.createDataFrame([("o", "O")], ENTITIES["organization"].schema())
+    with pytest.raises(FileNotFoundError):
+        runs.read_stored(spark, store, "package", entities=two)
+    runs.store_run({"package": packages, "organization": owners}, store, "run_1")
+    runs.store_run({"package": packages.limit(1), "organization": owners.limit(0)}, store, "run_2")
+    runs.store_run({"package": packages}, store, "run_3")  # not complete
+    assert runs.stored_runs(spark, store, two) == ["run_1", "run_2"]
+    latest = runs.read_stored(spark, store, "package", entities=two)
+    assert latest.count() == 1 and runs.read_stored(spark, store, "organization", entities=two).count() == 0
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan and len(latest.inputFiles()) >= 1
+    # Writing a run again replaces it and leaves the others.
+    runs.store_run({"package": packages.where("name = 'b'"), "organization": owners}, store, "run_2")
+    assert [r.name for r in runs.read_stored(spark, store, "package", entities=two).collect()] == ["b"]
+    assert runs.read_stored(spark, store, "package", "run_1").count() == 2
+
+
+HARD_TEXTS = ["plain", "}", '{"x', 'a\\"}{b', "\\", '"', "é}漢{", "", "\n", '}"{', "]},{["]
+
+
+@pytest.mark.parametrize("size", [700, 5_000, 1 << 27])
+@pytest.mark.parametrize("shape", ["array", "compact", "pretty", "lines"])
+def test_array_is_read_in_ranges(spark, tmp_path, shape, size):
+    """Braces and quotes in strings, nested objects and objects longer than a range come back whole, however the file is cut."""
+    rows = [{"i": i, "s": HARD_TEXTS[i % 11] * (i % 4), "n": [None, {"k": "}"}, {"k": {"z": i}}][i % 3]} for i in range(400)]
+    rows.append({"i": 400, "s": '}{"' * 3_000, "n": None})
+    text = {
+        "array": json.dumps(rows), "compact": json.dumps(rows, separators=(",", ":"), ensure_ascii=False), "pretty": json.dumps(rows, indent=1),
+        "lines": "\n".join(map(json.dumps, rows)),
+    }[shape]
+    (tmp_path / "a.json").write_text(text, encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        found = arrays.array_objects(spark, str(tmp_path / "a.json"))
+        got = sorted((json.loads(r.object) for r in found.collect()), key=lambda r: r["i"])
+        parts = spark.read.option("lineSep", "}").text(str(tmp_path / "a.json")).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == rows and (size > 1 << 20 or parts > 4)
+
+
+def test_odd_arrays(spark, tmp_path):
+    for name, text, want in (("empty", "[]", []), ("none", "", []), ("cut", '[{"name":"a"},{"name":"b"', ["a", None]), ("blank", " [\n] ", [])):
+        (tmp_path / f"{name}.json").write_text(text)
+        got = arrays.read_array(spark, str(tmp_path / f"{name}.json"), ENTITIES["package"].schema())
+        assert sorted((r.name for r in got.collect()), key=str) == sorted(want, key=str), name
+
+
+def test_array_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("a}", None, "x"), ('b"', "archived", None), ("c", None, None)], ENTITIES["package"].schema())
+    arrays.write_array(df, str(tmp_path / "run" / "package.json"))
+    text = "".join(p.read_text() for p in (tmp_path / "run" / "package.json").glob("part-*"))
+    assert len(json.loads(text)) == 3
+    assert sorted(map(tuple, runs.read_entity(spark, str(tmp_path / "run"), "package").collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    arrays.write_array(df.limit(0), str(tmp_path / "none"))
+    assert json.loads("".join(p.read_text() for p in (tmp_path / "none").glob("part-*"))) == []
+
+
 def test_missing_per_run_and_counts(spark):
     listing = spark.createDataFrame([("r1", "a"), ("r1", "b"), ("r2", "a"), ("r2", "x")], "run string, entity string")
     assert [(r.run, r.entity) for r in runs.missing_per_run(listing, "run", "entity", ["a", "b"]).collect()] == [("r2", "b")]
@@ -102,6 +164,56 @@ def test_publish_all_or_nothing(spark, tmp_path):
     assert publish.published_version(spark, root) == "v4"
 
 
+def test_two_loads_at_once(spark, tmp_path, monkeypatch):
+    """Both loads see the same last entry; one gets the number, the other follows or gives up."""
+    root = str(tmp_path / "store")
+    good = {"t": spark.range(5).toDF("id")}
+    publish.refresh(good, root, "v1")
+    real, raced = files.write_text_once, []
+
+    def beaten(session, path, text):
+        if not raced:
+            raced.append(path)
+            real(session, path, json.dumps({"version": "other", "folder": "x", "rows": {}}))
+        real(session, path, text)
+
+    monkeypatch.setattr(files, "write_text_once", beaten)
+    publish.refresh(good, root, "v2")
+    assert [e["version"] for e in publish._entries(spark, root)] == ["v1", "other", "v2"]
+    raced.clear()
+    with pytest.raises(publish.LostRace, match="other"):
+        publish.refresh(good, root, "v3", after="v2")
+    assert publish.published_version(spark, root) == "other"
+    with pytest.raises(FileExistsError):
+        publish.refresh(good, root, "v2")
+
+
+def test_unfinished_entry_is_passed_over(spark, tmp_path):
+    root = str(tmp_path / "store")
+    publish.refresh({"t": spark.range(5).toDF("id")}, root, "v1")
+    (tmp_path / "store" / "log" / f"{2:012d}.json").write_text('{"version": "half')
+    assert publish.published_version(spark, root) == "v1"
+    publish.refresh({"t": spark.range(3).toDF("id")}, root, "v2")
+    assert publish.published_version(spark, root) == "v2" and publish.read_published(spark, root, "t", "v1").count() == 5
+    assert sorted(files.list_names(spark, f"{root}/log")) == [f"{n:012d}.json" for n in (1, 2, 3)]
+
+
+def test_many_writers_of_one_file(spark, tmp_path):
+    """Of threads that write one name at once exactly one succeeds, and its text is whole."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def attempt(n):
+        try:
+            files.write_text_once(spark, str(tmp_path / "one.json"), str(n) * 1000)
+            return n
+        except FileExistsError:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [n for n in pool.map(attempt, range(8)) if n is not None]
+    assert len(won) == 1 and files.read_text(spark, str(tmp_path / "one.json")) == str(won[0]) * 1000
+
+
 def test_manifest_is_never_replaced(spark, tmp_path):
     files.write_text_once(spark, str(tmp_path / "m.json"), "one")
     with pytest.raises(FileExistsError):
