@@ -57,6 +57,45 @@ def resolve(
     return child.join(keyed, on, "left").drop(*[f"_p{n}" for n in range(len(parent_keys))])
 
 
+#: Parents that are broadcast at most, child rows of one key that stay together, and keys that may be spread.
+SMALL_PARENT, HEAVY_KEY, MAX_HEAVY = 100_000, 1_000_000, 100_000
+
+
+def resolve_spread(
+    child: DataFrame, parent: DataFrame, child_keys: Sequence[str], parent_keys: Sequence[str], id_column: str
+) -> DataFrame:
+    """``resolve`` where a few keys may hold most child rows.
+
+    A parent table of at most ``SMALL_PARENT`` rows is broadcast, after a count, and the children
+    stay where they are. For a larger one the keys with over ``HEAVY_KEY`` child rows are counted first;
+    their children are dealt over as many salts as the count asks for, and their parents
+    copied once per salt. The salt is a hash of the child row, so a repeated task deals alike. The list of
+    heavy keys is broadcast: rows over ``HEAVY_KEY`` bound it, and beyond ``MAX_HEAVY`` keys the
+    bar is raised until it fits.
+    """
+    if parent.limit(SMALL_PARENT + 1).count() <= SMALL_PARENT:
+        return resolve(child, F.broadcast(parent.select(*parent_keys, id_column)), child_keys, parent_keys, id_column)
+    names = [f"_h{n}" for n in range(len(child_keys))]
+    counts = child.groupBy(*[F.col(c).alias(n) for c, n in zip(child_keys, names)]).agg(F.count("*").alias("_rows"))
+    bar, heavy = HEAVY_KEY, materialize(counts.where(F.col("_rows") > HEAVY_KEY), "heavy-keys")
+    while heavy.count() > MAX_HEAVY:
+        bar, heavy = bar * 4, heavy.where(F.col("_rows") > bar * 4)
+    heavy = heavy.select(*names, F.ceil(4 * F.col("_rows") / bar).cast("int").alias("_salts"))
+
+    def salts_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        found = df.join(F.broadcast(heavy), [F.col(c) == F.col(n) for c, n in zip(keys, names)], "left").drop(*names)
+        # Nothing matches a missing key, so its rows may lie anywhere.
+        unnamed = F.lit(False)
+        for c in keys:
+            unnamed = unnamed | F.col(c).isNull()
+        return found.withColumn("_salts", F.when(unnamed, MAX_HEAVY + 1).otherwise(F.coalesce("_salts", F.lit(1))))
+
+    dealt = salts_of(child, child_keys).withColumn("_salt", F.pmod(F.xxhash64(*child.columns), "_salts").cast("int")).drop("_salts")
+    copies = salts_of(parent.select(*parent_keys, id_column).dropna(subset=list(parent_keys)), parent_keys)
+    copies = copies.select(*parent_keys, id_column, F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_copy"))
+    return resolve(dealt, copies, [*child_keys, "_salt"], [*parent_keys, "_copy"], id_column).drop("_salt")
+
+
 def unresolved(
     child: DataFrame, parent: DataFrame, child_keys: Sequence[str], parent_keys: Sequence[str], edge: str,
     optional: bool = False,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from indexloom.functions.text import fold_case, parse_timestamp
-from indexloom.operators.keys import dense_ids, natural_id, resolve
+from indexloom.operators.keys import dense_ids, natural_id, resolve_spread
 from indexloom.registry import ENTITIES
 
 
@@ -22,7 +22,7 @@ def load_shape(frames: dict[str, DataFrame], entity: str) -> DataFrame:
     Ids are hashes of names, so the fat rows are projected in place and never
     shuffled to find a parent; whether the parents exist is checked apart, on
     the key columns only (``reference_violations``). Only classifier ids are
-    looked up, because they are numbered.
+    looked up, because they are numbered; a few classifiers hold most tags (``resolve_spread``).
     """
     df = frames[entity]
     release = _id("release", "package_name", "version").alias("release_id") if "version" in df.columns else None
@@ -83,7 +83,7 @@ def load_shape(frames: dict[str, DataFrame], entity: str) -> DataFrame:
     if entity == "tagged_with":
         keyed = load_shape(frames, "classifier") if "_classifier_ids" not in frames else frames["_classifier_ids"]
         both = df.withColumn("release_id", release)
-        found = resolve(both, keyed, ["category", "value"], ["category", "value"], "classifier_id")
+        found = resolve_spread(both, keyed, ["category", "value"], ["category", "value"], "classifier_id")
         return found.select("release_id", "classifier_id")
     if entity == "release_keyword":
         return df.select(release, "keyword")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from indexloom.functions import text as X
-from indexloom.operators import checks
-from indexloom.operators.keys import LOAD_ORDER, cascade_report, dense_ids, drop_dangling, natural_id, reference_violations, resolve, unresolved
+from indexloom.operators import checks, dependencies
+from indexloom.operators.keys import LOAD_ORDER, cascade_report, dense_ids, drop_dangling, natural_id, reference_violations, resolve, resolve_spread, unresolved
 from indexloom.operators.load import load_shape
 from indexloom.registry import ENTITIES, Col
 from indexloom.session import materialize, scratch_path
@@ -52,7 +52,7 @@ def _resolve(child: str, ref_columns, parent: str, id_column: str, keep):
     def run(spark, sf):
         keys = list(ENTITIES[parent].key)
         owners = _parent(spark, sf, parent).select(*keys, natural_id(*[F.col(k) for k in keys]).alias(id_column))
-        return resolve(view(spark, sf, child), owners, ref_columns, keys, id_column).select(*keep, id_column)
+        return (resolve_spread if parent == "classifier" else resolve)(view(spark, sf, child), owners, ref_columns, keys, id_column).select(*keep, id_column)
 
     return run
 
@@ -267,12 +267,99 @@ def _yanked_reason(spark, sf):
     return checks.stray_yank_reasons(rows, ["package_name", "version"])
 
 
+#: Rows that break a dependency: the same key again with another value.
+_TWISTED = {
+    "organization": ("name < 'c'", {"display_name": "display_name || '!'"}),
+    "release_file": ("size % 10 = 0", {"size": "size + 1"}),
+    "project_link": ("label = 'Docs' and version like '%7.0'", {"url": "url || 'x'"}),
+    "attestation": ("sigstore_log_index % 5 = 0", {"trigger_event": "cast(null as {text})"}),
+}
+
+
+def _twisted_sql(name: str) -> str:
+    where, change = _TWISTED[name]
+    columns = ", ".join(change.get(c, c).replace("{text}", "varchar") for c in ENTITIES[name].names)
+    base = f"select {', '.join(ENTITIES[name].names)} from ({view_sql(name)}) t"
+    return f"{base} union all select {columns} from ({view_sql(name)}) t where {where}"
+
+
 def _check_fd(spark, sf):
-    orders = table(spark, sf, "orders")
-    part = table(spark, sf, "part")
-    return checks.broken_dependencies(orders, ["o_custkey"], ["o_orderstatus"], "o_custkey->o_orderstatus").unionByName(
-        checks.broken_dependencies(part, ["p_name"], ["p_brand", "p_type"], "p_name->p_brand,p_type")
-    )
+    """The declared dependencies of all stored tables, and two that don't hold for orders and parts."""
+    made = frames(spark, sf, *ENTITIES)
+    for name, (where, change) in _TWISTED.items():
+        columns = [F.expr(change.get(c, c).replace("{text}", "string")).alias(c) for c in ENTITIES[name].names]
+        made[name] = made[name].select(*ENTITIES[name].names).unionByName(made[name].where(where).select(*columns))
+    made["_classifier_ids"] = load_shape(made, "classifier")
+    tables = {n: made["_classifier_ids"] if n == "classifier" else load_shape(made, n) for n in ENTITIES if n in dependencies.DETERMINANTS}
+    bad = dependencies.broken_in_tables(tables)
+    for name, left, right in (("orders", ("o_custkey",), ("o_orderstatus",)), ("part", ("p_name",), ("p_brand", "p_type"))):
+        bad = bad.unionByName(dependencies.broken_dependencies(table(spark, sf, name), [dependencies.Dependency(left, right)], name))
+    return bad
+
+
+def _check_fd_sql() -> str:
+    """One grouped query per dependency."""
+    parts = []
+    stored = {n: f"select {s} from ({_twisted_sql(n) if n in _TWISTED else view_sql(n)}) t" for n, s in _LOAD_SQL.items()}
+    stored |= {"classifier": f"select * from {_numbered()} n", "orders": "select * from orders", "part": "select * from part"}
+    columns = {n: [c.strip().split(" as ")[-1].strip() for c in _split_columns(s)] for n, s in _LOAD_SQL.items()} | {"classifier": ["classifier_id", "category", "value"]}
+    deps = {n: dependencies.declared(n, columns[n]) for n in dependencies.DETERMINANTS}
+    deps |= {"orders": [dependencies.Dependency(("o_custkey",), ("o_orderstatus",))], "part": [dependencies.Dependency(("p_name",), ("p_brand", "p_type"))]}
+    for name, found in deps.items():
+        for d in found:
+            key = " || '\",\"' || ".join(f"cast({c} as varchar)" for c in d.left)
+            right = ", ".join(f"c{n} := {c}" for n, c in enumerate(d.right))
+            parts.append(
+                f"select '{name}' as entity, '{d}' as dependency, '[\"' || {key} || '\"]' as key, count(*) as n_rows "
+                f"from ({stored[name]}) s group by {', '.join(d.left)} having count(distinct struct_pack({right})) > 1"
+            )
+    return " union all ".join(parts)
+
+
+def _split_columns(select: str) -> list[str]:
+    """The expressions of a select list, split at commas outside brackets."""
+    out, depth = [""], 0
+    for char in select:
+        depth += (char == "(") - (char == ")")
+        if char == "," and depth == 0:
+            out.append("")
+        else:
+            out[-1] += char
+    return out
+
+
+def _cardinality(spark, sf):
+    """Breaches of the eight relationships where some parents are gone and some hashes come twice."""
+    have = frames(spark, sf, *ENTITIES)
+    for name in ("package", "release", "classifier", "organization"):
+        have[name] = _parent(spark, sf, name)
+    have["file_hash"] = have["file_hash"].unionByName(have["file_hash"].where("algorithm = 'MD5' and filename like '%7.0.tar.gz'"))
+    return dependencies.cardinality_breaches(have).groupBy("edge", "rule").agg(F.count("*").alias("n_keys"), F.sum("n_rows").alias("n_rows"))
+
+
+def _cardinality_sql() -> str:
+    gone = ("package", "release", "classifier", "organization")
+    parent = lambda n: _parent_sql(n) if n in gone else f"({view_sql(n)})"
+    parts = []
+    for side in dependencies.SIDES:
+        child = parent(side.child)
+        if side.child == "file_hash":
+            child = f"(select * from {child} c union all select * from {child} c where algorithm = 'MD5' and filename like '%7.0.tar.gz')"
+        low = "lower" if ENTITIES[side.parent].folded else ""
+        on = " and ".join(f"{low}(p.{k}) = {low}(c.{c})" for k, c in zip(ENTITIES[side.parent].key, side.columns))
+        key = " || chr(1) || ".join(f"{low}(c.{c})" for c in side.columns)
+        some = "" if side.total else f" and c.{side.columns[0]} <> ''"
+        parts.append(
+            f"select '{side}' as edge, 'child without parent' as rule, count(distinct {key}) as n_keys, count(*) as n_rows from {child} c "
+            f"where not exists (select 1 from {parent(side.parent)} p where {on}){some}"
+        )
+        if side.most:
+            keys = ", ".join(f"c.{c}" for c in side.columns)
+            parts.append(
+                f"select '{side}', 'too many children', count(*), cast(coalesce(sum(n), 0) as bigint) from (select count(*) as n from {child} c "
+                f"where exists (select 1 from {parent(side.parent)} p where {on}) group by {keys} having count(*) > {side.most}) t"
+            )
+    return "select * from (" + " union all ".join(parts) + ") e where n_rows > 0"
 
 
 def _degree(spark, sf):
@@ -494,15 +581,8 @@ QUERIES = {
         select package_name, version, yanked_reason from ({view_sql('release')}) r
         where yanked_reason is not null and not contains(yanked_reason, 'HIGH')""",
     ),
-    "check_fd": Query(
-        _check_fd,
-        """
-        select 'o_custkey->o_orderstatus' as dependency, '["' || o_custkey || '"]' as key, count(*) as n_rows
-        from orders group by o_custkey having count(distinct o_orderstatus) > 1
-        union all
-        select 'p_name->p_brand,p_type', '["' || p_name || '"]', count(*) from part
-        group by p_name having count(distinct p_brand || chr(1) || p_type) > 1""",
-    ),
+    "check_fd": Query(_check_fd, _check_fd_sql()),
+    "relationship_cardinality": Query(_cardinality, _cardinality_sql()),
     "relationship_degree": Query(
         _degree,
         " union all ".join(

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from indexloom.functions.text import parse_timestamp
-from indexloom.operators import checks
-from indexloom.operators.keys import dense_ids, drop_dangling, natural_id, reference_violations, resolve, unresolved
+from indexloom.operators import checks, dependencies as D, keys as keys_module
+from indexloom.operators.keys import dense_ids, drop_dangling, natural_id, reference_violations, resolve, resolve_spread, unresolved
 from indexloom.operators.load import bad_timestamps, load_shape
 from indexloom.operators.ranking import cap_history, first_successful, keep_first, top_per_group
 from indexloom.registry import ENTITIES
@@ -164,3 +164,77 @@ def test_other_checks(spark):
 
 def test_parse_timestamp_null_stays_null(spark):
     assert spark.range(1).select(parse_timestamp(F.lit(None).cast("string"))).first()[0] is None
+
+
+# ---------------------------------------------------------------- dependencies and relationships
+
+
+def test_closure_and_candidate_keys():
+    deps = [D.Dependency(("a",), ("b", "c")), D.Dependency(("b", "c"), ("a", "d")), D.Dependency(("d",), ("e",))]
+    assert D.closure({"b", "c"}, deps) == {"a", "b", "c", "d", "e"} and D.closure({"b"}, deps) == {"b"}
+    assert D.candidate_keys(["a", "b", "c", "d", "e"], deps) == [("a",), ("b", "c")]
+    assert [str(d) for d in D.not_in_normal_form(["a", "b", "c", "d", "e"], deps)] == ["d->e"]
+    assert D.candidate_keys(["x", "y"], []) == [("x", "y")]
+
+
+def test_declared_tables_are_in_normal_form():
+    columns = {"classifier": ["classifier_id", "category", "value"], "file_hash": ["release_file_id", "algorithm", "digest"], "maintained_by": ["package_id", "maintainer_id"]}
+    for name, some in columns.items():
+        deps = D.declared(name, some)
+        assert not D.not_in_normal_form(some, deps)
+        keys = D.candidate_keys(some, deps)
+        assert keys == [tuple(x) for x in D.DETERMINANTS.get(name, (tuple(some),))]
+
+
+def test_broken_dependencies_in_one_pass(spark):
+    rows = [(1, "a", "x", "u"), (2, "b", "x", "u"), (2, "b", "y", "u"), (3, "c", None, "u"), (3, "c", "z", "u"), (4, "d", None, None), (4, "d", None, None), (5, "d", "q", "v")]
+    df = spark.createDataFrame(rows, "id int, name string, value string, other string")
+    deps = [D.Dependency(("id",), ("name", "value", "other")), D.Dependency(("name", "other"), ("id",)), D.Dependency(("name",), ("id",))]
+    found = D.broken_dependencies(df, deps, "t")
+    assert sorted((r.dependency, r.key, r.n_rows) for r in found.collect()) == [
+        ("id->name,value,other", '["2"]', 2), ("id->name,value,other", '["3"]', 2), ("name->id", '["d"]', 3),
+    ]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Scan ExistingRDD") == 1 and "Expand" in plan
+    assert D.broken_dependencies(df.limit(0), deps).isEmpty()
+
+
+def test_cardinality_breaches(spark):
+    frames = {
+        "package": spark.createDataFrame([("p", None, "o"), ("q", None, "gone"), ("r", None, "")], ENTITIES["package"].schema()),
+        "organization": spark.createDataFrame([("o", "O"), ("lonely", "L")], ENTITIES["organization"].schema()),
+        "maintainer": spark.createDataFrame([("Bob", None)], ENTITIES["maintainer"].schema()),
+        "maintained_by": spark.createDataFrame([("p", "bob"), ("p", "eve"), (None, "BOB")], ENTITIES["maintained_by"].schema()),
+    }
+    found = sorted(((r.edge, r.rule, r.key, r.n_rows) for r in D.cardinality_breaches(frames).collect()), key=str)
+    # An owner's name may be missing, but a name that is there has to exist; a link has to name a package.
+    assert found == sorted([
+        ("owned_by(organization)", "child without parent", '["gone"]', 1), ("maintained_by(maintainer)", "child without parent", '["eve"]', 1),
+        ("maintained_by(package)", "child without parent", None, 1),
+    ], key=str)
+    one = (D.Side("owned_by", "organization", "package", ("organization_owner",), total=False, least=1, most=1),)
+    assert [(r.rule, r.key) for r in D.cardinality_breaches(frames, one).where("rule not like 'child%'").collect()] == [("too few children", '["lonely"]')]
+
+
+def test_resolve_spreads_heavy_keys(spark, monkeypatch):
+    """One value on nine rows of ten: equal to a plain join, and no task holds much more than the others."""
+    children = spark.range(20_000).selectExpr("id", "if(id % 10 < 9, 'hot', concat('k', id % 500)) as k", "if(id % 7 = 0, null, 'x') as l")
+    parents = spark.range(600).selectExpr("if(id = 0, 'hot', concat('k', id)) as k", "'x' as l", "id as parent_id")
+    plain = sorted(map(tuple, resolve(children, parents, ["k", "l"], ["k", "l"], "parent_id").collect()), key=str)
+    assert sorted(map(tuple, resolve_spread(children, parents, ["k", "l"], ["k", "l"], "parent_id").collect()), key=str) == plain
+    for name, value in {"SMALL_PARENT": 10, "HEAVY_KEY": 500}.items():
+        monkeypatch.setattr(keys_module, name, value)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        spread = resolve_spread(children, parents, ["k", "l"], ["k", "l"], "parent_id")
+        sizes = sorted(r.n for r in spread.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect())
+        got = sorted(map(tuple, spread.collect()), key=str)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == plain and len(sizes) == 8 and sizes[-1] < 2 * sizes[4]
+    monkeypatch.setattr(keys_module, "MAX_HEAVY", 0)
+    assert sorted(map(tuple, resolve_spread(children, parents, ["k", "l"], ["k", "l"], "parent_id").collect()), key=str) == plain
