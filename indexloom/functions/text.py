@@ -116,29 +116,24 @@ def is_valid_requires_python(spec: Column) -> Column:
     return some & F.forall(F.split(spec, ","), lambda clause: clause.rlike(_CLAUSE) | (strip_space(clause) == ""))
 
 
-def is_valid_spdx_license(
-    expression: Column, ids: Sequence[str] = SPDX_IDS, exception_ids: Sequence[str] = SPDX_EXCEPTIONS
-) -> Column:
-    """True when the text is a well-formed SPDX expression over the given identifiers.
+def license_tokens(expression: Column) -> Column:
+    return F.regexp_extract_all(expression, F.lit(r"([()]|[^\s()]+)"), 1)
 
-    Identifiers become one-letter marks (L licence, E exception, ? unknown); one pass
-    over the marks follows what may come next and how deep the brackets are, so they nest freely.
-    The default identifiers are the common ones; pass the whole published list to check against it.
-    """
-    tokens = F.regexp_extract_all(expression, F.lit(r"([()]|[^\s()]+)"), 1)
-    known = F.array(*[F.lit(i.lower()) for i in ids])
-    exceptions = F.array(*[F.lit(i.lower()) for i in exception_ids])
 
-    def mark(token: Column) -> Column:
-        bare = F.lower(F.regexp_replace(token, r"\+$", ""))
-        return (
-            F.when(token.isin("(", ")"), token)
-            .when(token.isin("AND", "OR", "and", "or"), F.lit("&"))
-            .when(token.isin("WITH", "with"), F.lit("+"))
-            .when(F.array_contains(known, bare) | token.rlike(r"^LicenseRef-[A-Za-z0-9.-]+$"), F.lit("L"))
-            .when(F.array_contains(exceptions, F.lower(token)), F.lit("E"))
-            .otherwise(F.lit("?"))
-        )
+def license_marks(token: Column, known: Column, exception: Column) -> Column:
+    """One letter per token: brackets, & and + for the operators, L licence, E exception, ? unknown."""
+    return (
+        F.when(token.isin("(", ")"), token)
+        .when(token.isin("AND", "OR", "and", "or"), F.lit("&"))
+        .when(token.isin("WITH", "with"), F.lit("+"))
+        .when(known | token.rlike(r"^LicenseRef-[A-Za-z0-9.-]+$"), F.lit("L"))
+        .when(exception, F.lit("E"))
+        .otherwise(F.lit("?"))
+    )
+
+
+def well_formed_license(marks: Column) -> Column:
+    """Whether a row of marks is an expression: one pass follows what may come next and how deep the brackets are."""
 
     def follow(acc: Column, m: Column) -> Column:
         """``state``: o operand awaited, x exception awaited, l after a licence, d after anything closed, ? wrong."""
@@ -154,4 +149,22 @@ def is_valid_spdx_license(
         return F.struct(step.alias("state"), deeper.alias("depth"))
 
     start = F.struct(F.lit("o").alias("state"), F.lit(0).alias("depth"))
-    return F.aggregate(F.transform(tokens, mark), start, follow, lambda end: end["state"].isin("l", "d") & (end["depth"] == 0))
+    return F.aggregate(marks, start, follow, lambda end: end["state"].isin("l", "d") & (end["depth"] == 0))
+
+
+def is_valid_spdx_license(
+    expression: Column, ids: Sequence[str] = SPDX_IDS, exception_ids: Sequence[str] = SPDX_EXCEPTIONS
+) -> Column:
+    """True when the text is a well-formed SPDX expression over the given identifiers.
+
+    The default identifiers are the common ones; the whole published list comes as a table
+    (``operators.licenses.valid_licenses``).
+    """
+    known = F.array(*[F.lit(i.lower()) for i in ids])
+    exceptions = F.array(*[F.lit(i.lower()) for i in exception_ids])
+
+    def mark(token: Column) -> Column:
+        bare = F.lower(F.regexp_replace(token, r"\+$", ""))
+        return license_marks(token, F.array_contains(known, bare), F.array_contains(exceptions, F.lower(token)))
+
+    return well_formed_license(F.transform(license_tokens(expression), mark))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from indexloom.functions.text import blank_to_null, fold_case
 from indexloom.registry import ENTITIES, Col
@@ -54,6 +54,43 @@ class Verdict:
         )
 
 
+@dataclass(frozen=True)
+class Watched:
+    """A verdict whose figures are taken while its valid rows are written, without a scan of their own."""
+
+    verdict: Verdict
+    seen: Observation
+    reasons: tuple[str, ...]
+
+    @property
+    def valid(self) -> DataFrame:
+        return self.verdict.valid
+
+    def lines(self) -> list[tuple[str, str, str | None, int]]:
+        """(entity, outcome, reason, n) like ``Verdict.report``; waits for the first job over ``valid``."""
+        found, entity = self.seen.get, self.verdict.entity
+        lines = [(entity, "dropped", reason, found[f"r{n}"]) for n, reason in enumerate(self.reasons)]
+        lines.append((entity, "truncated", None, found["cuts"] or 0))
+        return [line for line in lines if line[3]]
+
+    @property
+    def n_valid(self) -> int:
+        return self.seen.get["valid"]
+
+
+REPORT = "entity string, outcome string, reason string, n bigint"
+
+
+def watch(verdict: Verdict) -> Watched:
+    reasons = tuple(dict.fromkeys(reason for c in verdict.columns for _, reason in failures(c, verdict.rows.schema)))
+    seen = Observation(f"clean {verdict.entity}")
+    rows = verdict.rows.observe(
+        seen, F.count_if(F.col("_reason").isNull()).alias("valid"), F.sum("_cuts").alias("cuts"),
+        *[F.count_if(F.col("_reason") == reason).alias(f"r{n}") for n, reason in enumerate(reasons)],
+    )
+    return Watched(Verdict(verdict.entity, verdict.columns, rows), seen, reasons)
+
+
 def _value(col: Col, schema: T.StructType) -> Column:
     """Raw value with '' read as missing; text for a typed column is cast, failing to null."""
     raw = F.col(col.name)

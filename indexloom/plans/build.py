@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from indexloom.operators.checks import entity_duplicates
-from indexloom.operators.cleaning import Verdict, backfill_parents, clean_entity, missing_parents
+from indexloom.operators.cleaning import REPORT, Verdict, backfill_parents, clean_entity, missing_parents, watch
 from indexloom.operators.keys import LOAD_ORDER, drop_dangling, reference_violations
 from indexloom.operators.load import bad_timestamps, load_shape
 from indexloom.operators.ranking import distinct_rows, keep_first
 from indexloom.plans.extract import entity_rows, parse_pages
 from indexloom.registry import ENTITIES
-from indexloom.session import materialize
+from indexloom.session import materialize, materialize_all
 from indexloom.sources.captures import collect_pages, profiled_maintainers, rejected_pages
 from indexloom.sources.publish import refresh
 
@@ -89,20 +89,38 @@ def build(
 
     ``n_packages`` and ``n_releases`` limit a build to the first packages and
     releases; by default all are read. A dict given as ``reports`` receives the skipped
-    releases, the rejected pages, and the dropped, cut and backfilled counts.
+    releases, the rejected pages, and as ``run`` the dropped, cut, backfilled and cascaded counts, which
+    are observed while the entities are written.
     """
     pages, skipped = collect_pages(candidates, mains, versions, n_packages, n_releases)
     raw = extract_run(pages, profiles)
-    clean, verdicts = clean_run(raw)
-    stored = {name: materialize(df, f"clean-{name}") for name, df in clean.items()}
+    verdicts = {name: clean_entity(df, name) for name, df in raw.items()}
+    watched = {name: watch(v) for name, v in verdicts.items()}
+    added = Observation("backfilled maintainers")
+    links, order = _seen(raw["maintained_by"], verdicts["maintained_by"].valid)
+    clean = {name: w.valid for name, w in watched.items()}
+    missing = missing_parents(clean["maintainer"], links, "username", "maintainer_username", order)
+    clean["maintainer"] = clean["maintainer"].unionByName(missing.observe(added, F.count(F.lit(1)).alias("n")))
+    stored = materialize_all(clean, "clean")
+    lines = [line for w in watched.values() for line in w.lines()]
+    n_added = added.get["n"]
+    if n_added:
+        lines.append(("maintainer", "backfilled", None, n_added))
+    spark = candidates.sparkSession
     if reports is not None:
         reports["skipped_versions"] = skipped
         challenged = [p.select(F.lit(kind).alias("kind"), F.col(key).alias("page"), "html") for kind, p, key in (
             ("main", mains, "package"), ("version", versions, "package"), ("profile", profiles, "username"))]
         every = challenged[0].unionByName(challenged[1]).unionByName(challenged[2])
         reports["rejected_pages"] = rejected_pages(every, F.lit(True))
-        reports["run"] = _report(verdicts, raw)
-    return load_run(stored, root, version, cascade)
+        reports["run"] = spark.createDataFrame(lines, REPORT)
+    counts = load_run(stored, root, version, cascade)
+    if reports is not None and cascade:
+        # What was cleaned and didn't get into the tables lost its parent.
+        kept = {name: w.n_valid + (n_added if name == "maintainer" else 0) for name, w in watched.items()}
+        lost = [(name, "cascaded", None, kept[name] - n) for name, n in counts.items() if kept[name] > n]
+        reports["run"] = spark.createDataFrame(lines + lost, REPORT)
+    return counts
 
 
 def run_report(raw: dict[str, DataFrame]) -> DataFrame:

@@ -81,6 +81,21 @@ def releases_by_maintainer_name_naive(t: Tables, part: str = "lib") -> DataFrame
     )
 
 
+def releases_by_maintainer_name_collated(t: Tables, part: str = "lib", collation: str = "UNICODE_CI") -> DataFrame:
+    """Same question under the column's own case-blind collation instead of a folded key.
+
+    The collation holds sharp s apart from ss, and final sigma equal to sigma.
+    """
+    hits = t["maintainer"].where(F.contains(F.collate("username", collation), F.collate(F.lit(part), collation)))
+    links = t["maintained_by"]
+    counts = links.groupBy("package_id").agg(F.count("*").alias("maintainer_count"))
+    wanted = links.join(hits.select("maintainer_id"), "maintainer_id", "left_semi").select("package_id").distinct()
+    return (
+        t["release"].join(t["package"].select("package_id", "name").join(wanted, "package_id", "left_semi").join(counts, "package_id"), "package_id")
+        .select("release_id", "version", "name", "maintainer_count").orderBy("name", "release_id")
+    )
+
+
 def packages_without_maintainer(t: Tables) -> DataFrame:
     """Packages no maintainer is linked to; nulls in the link table do not matter."""
     return (
@@ -132,6 +147,12 @@ def package_file_digests_upper(t: Tables, name: str, algorithm: str = "SHA256")
     return _files_with_digest(t, t["package"].where(F.upper("name") == name.upper()), algorithm)
 
 
+def package_file_digests_collated(t: Tables, name: str, algorithm: str = "SHA256", collation: str = "UNICODE_CI") -> DataFrame:
+    """Same question under the column's own case-blind collation: no stored key is needed, and no scan can use it."""
+    same = F.collate("name", collation) == F.collate(F.lit(name), collation)
+    return _files_with_digest(t, t["package"].where(same), algorithm)
+
+
 def releases_per_organization(t: Tables) -> DataFrame:
     """Release totals of every organization that owns a package, 0 included, most first.
 

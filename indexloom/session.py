@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +53,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Jobs that run at once where several tables are written: small ones fill the gaps that large ones leave.
+AT_ONCE = 4
+
+
+def materialize_all(frames: dict[str, DataFrame], label: str) -> dict[str, DataFrame]:
+    """``materialize`` for several tables, a few at a time."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return dict(zip(frames, pool.map(lambda name: materialize(frames[name], f"{label}-{name}"), frames)))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from indexloom.functions import html as H
 from indexloom.functions.text import strip_space
 from indexloom.operators.ranking import keep_first
 from indexloom.plans import extract
@@ -11,10 +12,7 @@ from indexloom.session import materialize
 
 def read_candidates(spark: SparkSession, path: str, at_least: int = 1) -> DataFrame:
     """Package names of a list file in file order: (rank, package). Too short a list is an error."""
-    lines = spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("rank"), strip_space(F.col("value")).alias("package")
-    )
-    names = lines.where("package <> ''")
+    names = candidate_names(spark.read.text(path).select(F.monotonically_increasing_id().alias("rank"), F.col("value").alias("package")), "package")
     n = names.limit(at_least).count()
     if n < at_least:
         raise ValueError(f"{path} has {n} names, {at_least} are needed")
@@ -26,6 +24,15 @@ def candidate_names(lines: DataFrame, column: str) -> DataFrame:
     return lines.withColumn(column, strip_space(F.col(column))).where(F.col(column) != "")
 
 
+def has_history(html: Column) -> Column:
+    """Whether the page's release timeline lists any release."""
+    pieces = H.pieces_by(H.without_hidden(html), "div")
+    timeline = lambda p: F.when(H.opens(p, "div", "release-timeline"), F.lit("timeline"))
+    # Most unusable pages have no such region at all.
+    region = H.let(pieces, lambda p: H.first_labelled(p, H.element_spans(p, timeline), "timeline"))
+    return F.when(html.contains("release-timeline"), F.size(extract.history(region)) > 0).otherwise(F.lit(False))
+
+
 def reject_reason(html, has_history):
     """Why a captured page cannot be used; null if it can."""
     return F.when(html.contains(extract.CHALLENGE_MARKER), "challenge page").when(~has_history, "no release history")

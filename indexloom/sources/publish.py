@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from indexloom.session import AT_ONCE
 from indexloom.sources import files
 
 
@@ -45,11 +47,14 @@ def refresh(
         raise FileExistsError(f"version {version} is published already")
     # A folder of its own, so that a load that failed half-way can be tried again under its name.
     folder = f"{version}-{uuid.uuid4().hex}"
-    counts = {}
-    for name, df in tables.items():
+
+    def write(name: str) -> int:
         seen = Observation(f"rows of {name}")
-        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/versions/{folder}/{name}")
-        counts[name] = seen.get["n"]
+        tables[name].observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/versions/{folder}/{name}")
+        return seen.get["n"]
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        counts = dict(zip(tables, pool.map(write, tables)))
     _publish(spark, root, {"version": version, "folder": folder, "rows": counts}, after)
     return counts
 

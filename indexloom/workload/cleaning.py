@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from indexloom.operators.cleaning import backfill_parents, clean_entity, judge
+from indexloom.operators.cleaning import REPORT, backfill_parents, clean_entity, judge, watch
 from indexloom.operators.ranking import cap_history, distinct_rows, first_successful, keep_first
 from indexloom.registry import LIFECYCLE, Col
-from indexloom.sources.captures import candidate_names, rejected_pages, skipped_versions
-from indexloom.workload.roles import Query, plain, profile_pages, sql, table
+from indexloom.plans import extract
+from indexloom.session import materialize, scratch_path
+from indexloom.sources.captures import has_history, profiled_maintainers, read_candidates, rejected_pages, skipped_versions
+from indexloom.workload.roles import Query, plain, profile_pages, release_pages, sql, table
 
 # ------------------------------------------------------------------ dedup and selection
 
@@ -64,11 +66,17 @@ def _candidates(spark, sf):
 
 
 def _candidates_read(spark, sf):
-    lines = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "name"))
-    names = candidate_names(lines, "name")
-    return names.groupBy("doc_id").agg(
-        F.count("*").alias("n_names"), F.sum(F.length("name")).alias("n_chars"), F.min("name").alias("least")
-    )
+    """Lines of documents as list files: how many names, and whether one more would be too many to ask for."""
+    path = scratch_path(spark, "candidates")
+    table(spark, sf, "documents").select(F.concat(F.lit("  "), F.col("text"), F.lit("\t"))).where("text is not null").write.text(path)
+    names = read_candidates(spark, path, at_least=1)
+    found = names.agg(F.count("*").alias("n_names"), F.countDistinct("rank").alias("n_ranks"), F.sum(F.length("package")).alias("n_chars"), F.min("package").alias("least"))
+    try:
+        read_candidates(spark, path, at_least=names.count() + 1)
+        refused = False
+    except ValueError:
+        refused = True
+    return found.withColumn("too_short_refused", F.lit(refused))
 
 
 def _version_skips(spark, sf):
@@ -82,15 +90,23 @@ def _version_skips(spark, sf):
 
 
 def _profile_join(spark, sf):
-    names = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("s_suppkey")).distinct()
-    good = table(spark, sf, "supplier").where("s_acctbal >= 0")
-    return good.join(names, "s_suppkey", "left_semi").select("s_suppkey", "s_name")
+    """Suppliers with sales as linked maintainers; those with a negative balance have a challenge page for a profile."""
+    links = table(spark, sf, "lineitem").select(F.lit("p").alias("package_name"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("maintainer_username"))
+    day = F.concat(F.lit("2020-01-"), F.lpad((F.col("s_suppkey") % 28 + 1).cast("string"), 2, "0"))
+    dated = F.concat(F.lit('<div class="author-profile__metadiv"><i class="fa fa-calendar-alt"></i><time datetime="'), day, F.lit('">x</time></div>'))
+    html = F.when(F.col("s_acctbal") < 0, extract.CHALLENGE_MARKER).when(F.col("s_suppkey") % 5 == 0, "<html></html>").otherwise(dated)
+    profiles = table(spark, sf, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("username"), html.alias("html"))
+    return profiled_maintainers(links, profiles)
 
 
 def _pages_reject(spark, sf):
+    """Real web pages, profiles and release pages, some of them with an empty timeline."""
     web = table(spark, sf, "pages").select(F.col("url").alias("page"), "html")
     profiles = profile_pages(spark, sf).select(F.col("username").alias("page"), "html")
-    return rejected_pages(web.unionByName(profiles), F.col("html").contains("</html>"))
+    bare = F.regexp_replace("html", r'class="release(?=["\s])', 'class="none')
+    releases = release_pages(spark, sf).select(F.col("version").alias("page"), F.when(F.col("place") % 10 == 0, bare).otherwise(F.col("html")).alias("html"))
+    every = web.unionByName(profiles).unionByName(releases)
+    return rejected_pages(every, has_history(F.col("html")))
 
 
 # ------------------------------------------------------------------ cleaning
@@ -191,6 +207,16 @@ def _report(spark, sf):
     return lines
 
 
+def _report_observed(spark, sf):
+    """The same figures, taken while the valid rows are written."""
+    lines = []
+    for entity, raw in _RAW.items():
+        watched = watch(clean_entity(sql(spark, sf, raw), entity))
+        materialize(watched.valid, f"clean-{entity}")
+        lines += watched.lines()
+    return spark.createDataFrame(lines, REPORT)
+
+
 def _rejects(spark, sf):
     return clean_entity(sql(spark, sf, _RAW_RELEASE), "release").rejected.select(
         "entity", "reason", F.get_json_object("row", "$.version").alias("version")
@@ -224,6 +250,18 @@ def _ranked(source: str, key: str, order: str, columns: str) -> str:
                            from ({plain(source)}) s) t where rn = 1"""
 
 
+_REPORTED = " union all ".join(
+    [
+        _report_sql("package", _PACKAGE_REASON, "0"),
+        # The summary comes after every column that can fail, so only valid rows count cuts.
+        _report_sql(
+            "release", _RELEASE_REASON, f"case when {_RELEASE_REASON} is null and length(summary) > 512 then 1 else 0 end"
+        ),
+        _report_sql("classifier", _CLASSIFIER_REASON, "0"),
+        _report_sql("release_keyword", _KEYWORD_REASON, "case when length(keyword) > 100 then 1 else 0 end"),
+    ]
+)
+
 QUERIES = {
     "dedup_package": Query(
         _dedup_package,
@@ -263,9 +301,8 @@ QUERIES = {
     "candidates_read": Query(
         _candidates_read,
         r"""
-        select doc_id, count(*) as n_names, cast(sum(length(name)) as bigint) as n_chars, min(name) as least
-        from (select doc_id, trim(unnest(string_split(text, chr(10))), ' ' || chr(9) || chr(13)) as name from documents) t
-        where name <> '' group by doc_id""",
+        select count(*) as n_names, count(*) as n_ranks, cast(sum(length(name)) as bigint) as n_chars, min(name) as least, true as too_short_refused
+        from (select trim(unnest(string_split(text, chr(10))), ' ' || chr(9) || chr(13)) as name from documents) t where name <> ''""",
     ),
     "version_skip_report": Query(
         _version_skips,
@@ -276,15 +313,18 @@ QUERIES = {
     "profile_join": Query(
         _profile_join,
         """
-        select s_suppkey, s_name from supplier
-        where s_acctbal >= 0 and s_suppkey in (select l_suppkey from lineitem)""",
+        select 's' || cast(s_suppkey as varchar) as username,
+               case when s_suppkey % 5 <> 0 then '2020-01-' || lpad(cast(s_suppkey % 28 + 1 as varchar), 2, '0') end as joined_at
+        from supplier where s_acctbal >= 0 and s_suppkey in (select l_suppkey from lineitem)""",
     ),
     "pages_reject": Query(
         _pages_reject,
         """
-        select url as page, 'no release history' as reason from pages where not contains(html, '</html>')
+        select url as page, 'no release history' as reason from pages
+        union all
+        select 'Own' || cast(c_custkey as varchar), case when c_acctbal < 0 then 'challenge page' else 'no release history' end from customer
         union all
-        select 'Own' || cast(c_custkey as varchar), 'challenge page' from customer where c_acctbal < 0""",
+        select cast(o_orderkey as varchar) || '.0', 'no release history' from orders where o_orderkey % 10 = 0""",
     ),
     "clean_missing": Query(
         _clean_missing,
@@ -312,20 +352,8 @@ QUERIES = {
         select 'release' as entity, {_RELEASE_REASON} as reason, version
         from ({plain(_RAW_RELEASE)}) r where {_RELEASE_REASON} is not null""",
     ),
-    "clean_report": Query(
-        _report,
-        " union all ".join(
-            [
-                _report_sql("package", _PACKAGE_REASON, "0"),
-                # The summary comes after every column that can fail, so only valid rows count cuts.
-                _report_sql(
-                    "release", _RELEASE_REASON, f"case when {_RELEASE_REASON} is null and length(summary) > 512 then 1 else 0 end"
-                ),
-                _report_sql("classifier", _CLASSIFIER_REASON, "0"),
-                _report_sql("release_keyword", _KEYWORD_REASON, "case when length(keyword) > 100 then 1 else 0 end"),
-            ]
-        ),
-    ),
+    "clean_report": Query(_report, _REPORTED),
+    "clean_report_observed": Query(_report_observed, _REPORTED),
     "backfill_parent": Query(
         _backfill,
         f"""

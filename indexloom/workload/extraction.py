@@ -9,7 +9,9 @@ from indexloom.functions.text import parse_size
 from indexloom.operators.ranking import distinct_rows, keep_first
 from indexloom.plans import extract
 from indexloom.registry import ENTITIES
+from indexloom.plans.build import extract_run
 from indexloom.sources.captures import profiled_maintainers
+from indexloom.sources.runs import row_counts
 from indexloom.workload.roles import Query, profile_pages, release_pages, table, view_sql
 
 ORDER = ["rank", "place"]
@@ -85,30 +87,14 @@ def _parse_size(spark, sf):
 
 
 def _extract_all(spark, sf):
-    """Rows and key fields of every page entity from one parse: (entity, n_rows)."""
-    parsed = extract.parse_pages(release_pages(spark, sf))
-    files = F.col("files")
-    sizes = {
-        "release": F.lit(1),
-        "release_detail": F.lit(1),
-        "release_file": F.size(files),
-        "file_hash": F.aggregate(files, F.lit(0), lambda a, f: a + F.size(f["hashes"])),
-        "release_file_tag": F.size(F.filter(files, lambda f: f["wheel_tag"].isNotNull())),
-        "attestation": F.size(F.filter(files, lambda f: f["attestation"].isNotNull())),
-        "project_link": F.size("links"),
-        "tagged_with": F.size("classifiers"),
-        "release_keyword": F.size("keywords"),
-        "release_extra": F.size("extras"),
-    }
-    sums = parsed.agg(*[F.sum(v).alias(k) for k, v in sizes.items()])
-    lines = F.array(*[F.struct(F.lit(k).alias("entity"), F.col(k).alias("n_rows")) for k in sizes])
-    return sums.select(F.explode(lines).alias("l")).select("l.*")
+    """Rows of all fifteen entities from one parse: (entity, n_rows)."""
+    return row_counts(extract_run(release_pages(spark, sf), profile_pages(spark, sf))).where("entity <> 'total'")
 
 
 def _web_links(spark, sf):
     """List links of real web pages with the same rule that reads project links."""
-    pages = table(spark, sf, "pages").select("page_id", F.regexp_extract("html", r"(?s)<nav>(.*?)</nav>", 1).alias("nav"))
-    return pages.select("page_id", F.posexplode(H.links_in_items(F.col("nav"))).alias("pos", "a")).select(
+    pages = table(spark, sf, "pages").select("page_id", H.links_in_items(H.without_hidden(F.col("html"))).alias("links"))
+    return pages.select("page_id", F.posexplode("links").alias("pos", "a")).select(
         "page_id", F.col("pos").cast("bigint").alias("pos"), "a.href", "a.text"
     )
 
@@ -178,19 +164,12 @@ QUERIES |= {
                as bigint) as size from orders""",
     ),
     "extract_all": Query(
-        _extract_all,
-        " union all ".join(
-            f"select '{n}' as entity, count(*) as n_rows from ({view_sql(n)}) t"
-            for n in (
-                "release", "release_detail", "release_file", "file_hash", "release_file_tag", "attestation",
-                "project_link", "tagged_with", "release_keyword", "release_extra",
-            )
-        ),
+        _extract_all, " union all ".join(f"select '{n}' as entity, count(*) as n_rows from ({view_sql(n)}) t" for n in ENTITIES)
     ),
     "web_page_links": Query(
         _web_links,
         r"""
-        with nav as (select page_id, regexp_extract(html, '<nav>(.*?)</nav>', 1, 's') as nav from pages),
+        with nav as (select page_id, regexp_extract(html, '<li.*', 0, 's') as nav from pages),
         a as (select page_id, unnest(regexp_extract_all(nav, '<a href="[^"]*">[^<]*</a>')) as a,
                      generate_subscripts(regexp_extract_all(nav, '<a href="[^"]*">[^<]*</a>'), 1) - 1 as pos from nav)
         select page_id, cast(pos as bigint) as pos,

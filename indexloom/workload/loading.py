@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from indexloom.functions import text as X
 from indexloom.operators import checks, dependencies
 from indexloom.operators.keys import LOAD_ORDER, cascade_report, dense_ids, drop_dangling, natural_id, reference_violations, resolve, resolve_spread, unresolved
+from indexloom.operators.licenses import valid_licenses
 from indexloom.operators.load import load_shape
 from indexloom.registry import ENTITIES, Col
-from indexloom.session import materialize, scratch_path
+from indexloom.session import materialize, materialize_all, scratch_path
 from indexloom.sources import arrays, publish, runs
 from indexloom.workload.roles import ENTITY_VIEWS, Query, frames, micros, plain, sql, table, uid, view, view_sql
 
@@ -434,6 +435,23 @@ def _spdx(spark, sf):
     return sql(spark, sf, _LICENSES).select("o_orderkey", X.is_valid_spdx_license(F.col("license")).alias("valid"))
 
 
+# Market segments as licences, all but one of them listed; nations as exceptions.
+_LICENSED = """
+select o_orderkey, c_mktsegment, n_name, o_orderpriority, case o_orderpriority
+   when '1-URGENT' then c_mktsegment
+   when '2-HIGH' then lower(c_mktsegment) || '+ OR (Building AND ' || c_mktsegment || ')'
+   when '3-MEDIUM' then '(' || c_mktsegment || ' WITH ' || replace(n_name, ' ', '-') || ')'
+   when '4-NOT SPECIFIED' then c_mktsegment || ' AND' end as license
+from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey"""
+
+
+def _license_table(spark, sf):
+    segments = table(spark, sf, "customer").select("c_mktsegment").where("c_mktsegment <> 'MACHINERY'")
+    nations = table(spark, sf, "nation").where("n_nationkey % 2 = 0").select(F.replace("n_name", F.lit(" "), F.lit("-")))
+    rows = sql(spark, sf, _LICENSED).select("o_orderkey", "license")
+    return valid_licenses(rows, "license", segments, nations).select("o_orderkey", "valid")
+
+
 # ------------------------------------------------------------------ sources and sinks
 
 
@@ -475,7 +493,7 @@ def _sink_entities(spark, sf):
 
 def _full_refresh(spark, sf):
     """Fifteen tables checked, published over an earlier version and read back: (entity, n_rows, n_ids)."""
-    made = {n: materialize(df, n) for n, df in frames(spark, sf, *ENTITIES).items()}
+    made = materialize_all(frames(spark, sf, *ENTITIES), "refresh")
     root = scratch_path(spark, "store")
     made["_classifier_ids"] = materialize(load_shape(made, "classifier"), "classifier-ids")
     tables = {n: made["_classifier_ids"] if n == "classifier" else load_shape(made, n) for n in LOAD_ORDER}
@@ -628,6 +646,14 @@ QUERIES = {
         select o_orderkey, regexp_full_match(license, '{_GROUP}( (AND|OR) {_GROUP})*') as valid
         from ({plain(_LICENSES)}) s""",
     ),
+    "spdx_license_table": Query(
+        _license_table,
+        f"""
+        with l as ({plain(_LICENSED)}), even as (select replace(n_name, ' ', '-') as n from nation where n_nationkey % 2 = 0)
+        select o_orderkey, case when license is null then null when o_orderpriority = '4-NOT SPECIFIED' then false
+               else c_mktsegment <> 'MACHINERY' and (o_orderpriority <> '3-MEDIUM' or lower(replace(n_name, ' ', '-')) in (select lower(n) from even)) end as valid
+        from l""",
+    ),
     "src_read_entity": Query(
         _read_entity,
         f"""

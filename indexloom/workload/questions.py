@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from indexloom.plans import queries as q
 from indexloom.workload.roles import Query, question_tables, view, view_sql
 
@@ -58,7 +60,31 @@ from {V['organization']} o join {V['package']} p on p.org_id = o.organization_id
 left join {V['release']} r on r.package_id = p.package_id
 group by o.organization_id, o.display_name"""
 
+# Names in several spellings; the collated forms tell sharp s from ss, and not the sigmas.
+_STREETS = "case {id} % 3 when 0 then 'Stra\u00dfe' when 1 then 'STRASSE' else 'strasse' end || '#' || cast({id} % 40 as {text})"
+_ROADS = "case {id} % 4 when 0 then '\u039f\u03b4\u03bf\u03c2' when 1 then '\u039f\u0394\u039f\u03a3' when 2 then '\u03bf\u03b4\u03bf\u03c3' else 'Other' end || cast({id} % 100 as {text})"
+
+
+def _q4_collated(spark, sf):
+    t = question_tables(spark, sf, *_Q4)
+    t["package"] = t["package"].withColumn("name", F.expr(_STREETS.format(id="package_id", text="string")))
+    return q.package_file_digests_collated(t, "STRASSE#7")
+
+
+def _q2_collated(spark, sf):
+    t = question_tables(spark, sf, *_Q2)
+    t["maintainer"] = t["maintainer"].withColumn("username", F.expr(_ROADS.format(id="maintainer_id", text="string")))
+    return q.releases_by_maintainer_name_collated(t, "\u039f\u0394\u039f\u03a31")
+
+
+_Q4_COLLATED = _Q4_SQL.replace(f"upper(p.name) = '{NAME}'", f"lower({_STREETS.format(id='p.package_id', text='varchar')}) = 'strasse#7'")
+_Q2_COLLATED = _Q2_SQL.replace(
+    "lower(m.username) like '%supplier#00000001%'", f"replace(lower({_ROADS.format(id='m.maintainer_id', text='varchar')}), '\u03c2', '\u03c3') like '%\u03bf\u03b4\u03bf\u03c31%'"
+)
+
 QUERIES = {
+    "q2_collated": Query(_q2_collated, _Q2_COLLATED),
+    "q4_collated": Query(_q4_collated, _Q4_COLLATED),
     "q1_top_packages": Query(_on(q.top_packages, *_Q1), _Q1_SQL),
     "q1_naive": Query(_on(q.top_packages_naive, *_Q1), _Q1_NAIVE),
     "q2_maintainer_like": Query(_on(q.releases_by_maintainer_name, *_Q2, part=PART), _Q2_SQL),

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from indexloom.plans.build import build, clean_run, extract_run, load_run
 from indexloom.plans.queries import releases_per_organization, top_packages
@@ -51,6 +52,27 @@ def test_pages_to_published_tables(spark):
     assert {r.username: r.joined_at is None for r in t["maintainer"].collect()} == {"mira": False, "Otto": True}
 
 
+def test_reports_are_taken_while_writing(spark):
+    """Dropped, cut, backfilled and cascaded counts of a build, against what a scan of their own finds."""
+    from indexloom.plans.build import run_report
+    from indexloom.sources.captures import collect_pages
+
+    candidates, mains, versions, profiles = tables(spark)
+    long = mains.withColumn("html", F.when(F.col("package") == "beta", F.regexp_replace("html", "SHA256", "SHA1")).otherwise(F.col("html")))
+    long = long.withColumn("html", F.regexp_replace("html", '(?s)(package-description__summary">)', "$1" + "s" * 600))
+    # A classifier that is too long goes, and what refers to it follows.
+    odd = long.withColumn("html", F.regexp_replace("html", "(?s)(<strong>Topic[^<]*</strong>.*?<a[^>]*>)", "$1" + "t" * 300))
+    reports = {}
+    counts = build(candidates, odd, versions, profiles, scratch_path(spark, "store"), "run_1", reports=reports, cascade=True)
+    found = {(r.entity, r.outcome, r.reason): r.n for r in reports["run"].collect()}
+    pages, _ = collect_pages(candidates, odd, versions)
+    again = {(r.entity, r.outcome, r.reason): r.n for r in run_report(extract_run(pages, profiles)).collect()}
+    assert {k: n for k, n in found.items() if k[1] != "cascaded"} == again
+    assert {k[1] for k in again} >= {"dropped", "truncated", "backfilled"} and counts["package"] == 3
+    lost = {k[0]: n for k, n in found.items() if k[1] == "cascaded"}
+    assert lost["tagged_with"] >= 1 and "package" not in lost
+
+
 def test_violations_stop_the_load_and_cascade_repairs_references(spark):
     from indexloom.registry import ENTITIES
 

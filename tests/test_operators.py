@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from indexloom.functions.text import parse_timestamp
 from indexloom.operators import checks, dependencies as D, keys as keys_module
 from indexloom.operators.keys import dense_ids, drop_dangling, natural_id, reference_violations, resolve, resolve_spread, unresolved
+from indexloom.operators.licenses import valid_licenses
 from indexloom.operators.load import bad_timestamps, load_shape
 from indexloom.operators.ranking import cap_history, first_successful, keep_first, top_per_group
 from indexloom.registry import ENTITIES
@@ -238,3 +239,22 @@ def test_resolve_spreads_heavy_keys(spark, monkeypatch):
     assert got == plain and len(sizes) == 8 and sizes[-1] < 2 * sizes[4]
     monkeypatch.setattr(keys_module, "MAX_HEAVY", 0)
     assert sorted(map(tuple, resolve_spread(children, parents, ["k", "l"], ["k", "l"], "parent_id").collect()), key=str) == plain
+
+
+def test_licenses_by_table(spark, monkeypatch):
+    """Any published table decides, also where a text is on most rows and the texts are many."""
+    cases = {
+        "MIT": True, "mit": True, "MIT OR Own-9": True, "(MIT OR (Own-9 AND MIT)) AND Own-9": True, "Own-9+": True, "LicenseRef-x": True, "MIT WITH But": True,
+        "ISC": False, "MIT)": False, "MIT OR": False, "MIT Own-9": False, "(MIT": False, "": False, "WITH MIT": False, "MIT WITH MIT": False, "But": False, None: None,
+    }
+    rows = [(n, text, "clash") for n, text in enumerate([*cases, *["MIT"] * 50])]
+    df = spark.createDataFrame(rows, "id int, license string, valid string")
+    ids = spark.createDataFrame([("MIT",), ("own-9",), ("MIT",), (None,)], "license_id string")
+    want = {n: cases[text] for n, text, _ in rows}
+    for small in (keys_module.SMALL_PARENT, 2):
+        monkeypatch.setattr(keys_module, "SMALL_PARENT", small)
+        monkeypatch.setattr(keys_module, "HEAVY_KEY", 10)
+        found = valid_licenses(df, "license", ids, spark.createDataFrame([("but",)], "e string"))
+        assert found.columns == ["id", "license", "valid"] and {r.id: r.valid for r in found.collect()} == want
+    assert {r.valid for r in valid_licenses(df.where("license = 'MIT WITH But'"), "license", ids).collect()} == {False}
+    assert valid_licenses(df.limit(0), "license", ids).isEmpty()

@@ -74,3 +74,24 @@ def test_plans(t):
     assert "NestedLoop" not in plan(q.packages_not_in_links(t))
     for fn in (q.top_packages, q.releases_by_maintainer_name, q.releases_per_organization):
         assert "Cartesian" not in plan(fn(t)) and "Python" not in plan(fn(t))
+
+
+def test_collated_forms_differ_where_the_collation_does(spark):
+    """Sharp s stays apart from ss under the collation, final sigma equals sigma; the folded key joins both."""
+    names = ["Straße", "STRASSE", "strasse", "ΟΔΟΣ", "οδος"]
+    package = spark.createDataFrame([(i, None, n, n.lower()) for i, n in enumerate(names)], "package_id int, org_id int, name string, name_ci string")
+    release = spark.createDataFrame([(10 + i, i, "1") for i in range(5)], "release_id int, package_id int, version string")
+    file = spark.createDataFrame([(20 + i, 10 + i, "f", "p", 1, "t") for i in range(5)], "release_file_id int, release_id int, filename string, path string, size int, upload_time string")
+    file_hash = spark.createDataFrame([(20 + i, "SHA256", str(i)) for i in range(5)], "release_file_id int, algorithm string, digest string")
+    t = {"package": package, "release": release, "release_file": file, "file_hash": file_hash}
+    digests = lambda name, **kw: sorted(int(r.digest) for r in q.package_file_digests_collated(t, name, **kw).collect())
+    assert digests("strasse") == [1, 2] and digests("STRAßE") == [0] and digests("οδοσ") == [3, 4]
+    assert digests("strasse", collation="UTF8_LCASE") == [1, 2]
+    t["maintainer"] = spark.createDataFrame([(i, f"x{n}y") for i, n in enumerate(names)], "maintainer_id int, username string")
+    t["maintained_by"] = spark.createDataFrame([(i, i) for i in range(5)] + [(0, 1)], "package_id int, maintainer_id int")
+    found = lambda part, form: sorted((r.release_id, r.maintainer_count) for r in form(t, part).collect())
+    assert found("ssE", q.releases_by_maintainer_name_collated) == [(10, 2), (11, 1), (12, 1)]
+    t["maintained_by"] = t["maintained_by"].where("package_id = maintainer_id")
+    assert found("ssE", q.releases_by_maintainer_name_collated) == [(11, 1), (12, 1)]
+    assert found("ssE", q.releases_by_maintainer_name) == [(10, 1), (11, 1), (12, 1)]
+    assert found("ΔΟΣ", q.releases_by_maintainer_name_collated) == [(13, 1), (14, 1)]

@@ -285,3 +285,14 @@ def test_collect_pages(spark):
     assert {r.package for r in again.collect()} == {"one", "two", "three"}
     assert again.groupBy("package", "version").count().where("count > 1").isEmpty()
     assert sorted({(r.package, r.version) for r in skipped.collect()}) == [("one", "1.5"), ("two", "3.0b1")]
+
+
+def test_history_decides_by_the_parsed_timeline(spark):
+    item = '<div class="release"><p class="release__version">1.0</p></div>'
+    cases = {
+        f'<div class="release-timeline">{item}</div>': True, '<div class="release-timeline"><p>none</p></div>': False, "<html></html>": False,
+        f"<p>release-timeline</p>{item}": False, f'<!-- <div class="release-timeline">{item}</div> -->': False, "": False, None: None,
+    }
+    rows = spark.createDataFrame([(n, text) for n, text in enumerate(cases)], "id int, html string")
+    got = {r.id: r.h for r in rows.select("id", captures.has_history(F.col("html")).alias("h")).collect()}
+    assert [got[n] or False for n in range(len(cases))] == [bool(v) for v in cases.values()]
