@@ -20,6 +20,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CHECKPOINT = "spark.checkpoint.dir"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,21 +76,34 @@ def held_out(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches cut into runs of whole rows with about ``limit`` bytes of text; a longer text is alone. Nulls become empty."""
+def bounded_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """Rows go to Python in batches of about ``limit`` bytes, unless the session has a setting of its own.
+
+    Spark's default of 64 MB is held several times at once: by the JVM that fills it, by the worker and by its results.
+    """
+    if spark.conf.get(BATCH_BYTES) == "67108864b":
+        spark.conf.set(BATCH_BYTES, str(limit))
+
+
+def text_parts(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, pa.StringArray]]:
+    """Runs of whole rows with about ``limit`` bytes of text, as they are, and their texts with nulls as empty; a longer text is alone."""
     for batch in batches:
-        at = batch.schema.get_field_index(column)
-        text = pc.fill_null(batch.column(at).cast(pa.string()), "")
-        batch = batch.set_column(at, pa.field(column, pa.string()), text)
+        text = pc.fill_null(batch.column(column).cast(pa.string()), "")
         ends = pc.cumulative_sum(pc.cast(pc.binary_length(text), pa.int64())).to_numpy(zero_copy_only=False)
         start = 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
             stop = max(start + 1, int(ends.searchsorted(base + limit, "right")))
-            yield batch.slice(start, stop - start)
+            yield batch.slice(start, stop - start), text.slice(start, stop - start)
             start = stop
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """``text_parts`` with the texts in place of the column: nulls become empty."""
+    for part, text in text_parts(batches, column, limit):
+        yield part.set_column(part.schema.get_field_index(column), pa.field(column, pa.string()), text)
+
+
 def text_bytes(text: pa.StringArray):
     """The bytes of all texts in a row and, as numpy, where each starts (one more than texts)."""
     import numpy as np

@@ -28,14 +28,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.llm.common import map_arrow, stored, table, text_bytes, text_slices, widened
+from indexloom.llm.common import bounded_batches, map_arrow, stored, table, text_bytes, text_slices, widened
 
 LENGTH, GRAM = 400, 100
-#: Contexts of one anchor that are sorted together, contexts of one task, window starts looked at in one go.
-GROUP, TASK, SEGMENT = 2_000, 10_000, 1 << 22
+#: Contexts of one anchor that are sorted together, contexts of one task, windows sorted in one go, window starts looked at in one go.
+GROUP, TASK, WINDOWS, SEGMENT = 2_000, 10_000, 200_000, 1 << 22
 PLACE_BITS = 24
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1)
 
@@ -205,8 +206,24 @@ _SORTED = "fp binary, lo int, hi int, h1 long, h2 long, weight int"
 
 
 def _sort_task(left: pa.Table) -> pa.Table:
-    """Repeated windows of the contexts in one task; single windows of salted anchors as hashes."""
+    """Repeated windows of the contexts in one task, whole anchors of about ``WINDOWS`` windows at a time."""
     t = left.combine_chunks()
+    anchor, salt = (t.column(c).to_numpy() for c in ("anchor", "salt"))
+    order = np.lexsort((salt, anchor))
+    windows = np.cumsum(pc.binary_length(t.column("bytes")).to_numpy()[order].astype(np.int64) - LENGTH + 1)
+    ends = np.flatnonzero(np.append((np.diff(anchor[order]) != 0) | (np.diff(salt[order]) != 0), True)) + 1
+    out, start = [], 0
+    while start < len(order):
+        done = windows[start - 1] if start else 0
+        # The last end of an anchor within the bound, or the first one behind the start.
+        stop = ends[max(np.searchsorted(windows[ends - 1], done + WINDOWS, "right") - 1, np.searchsorted(ends, start, "right"))]
+        out.append(_sort_slice(t.take(pa.array(order[start:stop])).combine_chunks()))
+        start = int(stop)
+    return pa.concat_tables(out)
+
+
+def _sort_slice(t: pa.Table) -> pa.Table:
+    """Repeated windows of some anchors' contexts; single windows of salted anchors as hashes."""
     n = t.num_rows
     get = lambda c: t.column(c).chunk(0)
     data = get("bytes")
@@ -252,6 +269,7 @@ def _sort_task(left: pa.Table) -> pa.Table:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """fp and spans (array of struct lo, hi: window starts) of each text of ``docs(text)`` with repeated bytes."""
+    bounded_batches(docs.sparkSession)
     runs = stored(anchors(docs), "suffix-anchors")
     contexts = stored(runs.groupBy("anchor", "context").agg(F.count("*").alias("n")), "suffix-contexts")
     shared = contexts.groupBy("anchor").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum((F.col("n") == 1).cast("int")).alias("open_kinds"))

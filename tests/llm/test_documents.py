@@ -97,6 +97,7 @@ def test_repeats_salted_groups(spark, monkeypatch):
     passage = prose(5, 100)
     rows = [(i, f"{prose(100 + i, 30)} {passage} {prose(900 + i, 30 + i % 7)}", "en", "a", 1) for i in range(24)]
     monkeypatch.setattr(suffix_dedup, "GROUP", 4)
+    monkeypatch.setattr(suffix_dedup, "WINDOWS", 700)
     check_repeats(spark.createDataFrame(rows, SCHEMA))
 
 
