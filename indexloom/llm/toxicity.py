@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.llm.common import held_out, map_arrow, stored, table, text_slices, widened
+from indexloom.llm.common import bounded_batches, held_out, map_arrow, stored, table, text_parts, text_slices, widened
 
 FOLDS = 5
 #: Documents that fitting looks at (in expectation), and features it may choose among and keep.
@@ -89,6 +89,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", max_positive: in
     toxic if any label says so. Without labelled documents, or without features that set
     them apart, the model is the prior alone (0.5 of one document without any label).
     """
+    bounded_batches(docs.sparkSession)
     share = lambda n, of: min(1.0, of / max(1, n))
     pick = lambda part: F.pmod(F.xxhash64(F.lit("pu"), "doc_id"), F.lit(1 << 30)) < int(part * (1 << 30))
     train = ~held_out(F.col("doc_id"), FOLDS)
@@ -154,24 +155,29 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", max_positive: in
     return Model(dict(zip(names, map(float, w))), b)
 
 
-def score(docs: DataFrame, model: Model, name: str = "toxicity", text: str = "text") -> DataFrame:
-    """``docs`` with the probability ``name``, in place of a column of this name; null and empty texts get the bias alone."""
+def score(docs: DataFrame, model: Model, name: str = "toxicity", text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs`` with the probability ``name``, in place of a column of this name; null and empty texts get the bias alone.
+
+    The text goes to Python once, in small batches; without ``keep_text`` it doesn't come back.
+    """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.drop(name) if name != text else docs
-    carried = kept.columns
+    kept = docs.drop(name) if name != text else docs.withColumnRenamed(text, "_tox_text")
+    column = text if name != text else "_tox_text"
+    carried = [c for c in kept.columns if c != column or keep_text and name != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "_tox_text"):
-            scores = [shared.value.score(t) for t in part.column("_tox_text").to_pylist()]
+        for part, texts in text_parts(batches, column):
+            scores = [shared.value.score(t) for t in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(c) for c in carried] + [pa.array(scores, pa.float64())], names=[*carried, name])
 
-    return map_arrow(kept.withColumn("_tox_text", F.col(text)), run, widened(kept, f"`{name}` double"))
+    return map_arrow(kept, run, widened(kept.select(*carried), f"`{name}` double"))
 
 
 def op7_nnpu_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    scored = score(docs, model, "score")
+    scored = score(docs, model, "score", keep_text=False)
     return scored.select(
         "doc_id", held_out(F.col("doc_id"), FOLDS).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
