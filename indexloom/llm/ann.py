@@ -35,8 +35,8 @@ from indexloom.llm.common import map_arrow, stored, table
 TABLES, FUNCTIONS, WIDTH, PROBES = 10, 10, 2.5, 100
 #: Index rows that one task should hold, and rows of one bucket that stay together.
 BLOCK, BUCKET = 40_000, 20_000
-#: Queries that look through a part of the whole index together.
-ASKERS = 200
+#: Queries that look through rows together, pairs whose exact score is taken in one go, and how far rounding may reach.
+ASKERS, PAIRS, MARGIN = 200, 1 << 16, 1e-9
 SEED = 5
 
 
@@ -171,30 +171,37 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
             asker = np.repeat(np.arange(len(q)), np.diff(lists.offsets.to_numpy()))
             by = np.argsort(asked_bucket, kind="stable")
             heads = np.flatnonzero(np.append(True, np.diff(asked_bucket[by]) != 0))
-            name = [i[0] for i in ids]  # a class is here once per table that put it into the block
+            names = np.array([i[0] for i in ids], np.int64)  # a class is here once per table that put it into the block
             best: list[dict[int, tuple[float, int]]] = [{} for _ in range(len(q))]
             for a, b in zip(heads, np.append(heads[1:], len(by))):
                 lo = np.searchsorted(bucket, asked_bucket[by[a]], "left", sorter=order)
                 hi = np.searchsorted(bucket, asked_bucket[by[a]], "right", sorter=order)
                 if lo == hi:
                     continue
-                rows_, askers = order[lo:hi], asker[by[a:b]]
-                near = (q[askers] @ base[rows_].T) / (q_length[askers][:, None] * length[rows_])
-                # Spare places for the query's own class and for ties in the last digits.
-                top = np.argpartition(-near, min(k + 7, near.shape[1] - 1), axis=1)[:, : k + 8]
-                for i, qi in enumerate(askers):
-                    best[qi].update((name[r], (s, r)) for r, s in zip(rows_[top[i]].tolist(), near[i, top[i]].tolist()))
-                    if len(best[qi]) > 64:
-                        best[qi] = dict(sorted(best[qi].items(), key=lambda x: -x[1][0])[: k + 8])
+                rows_ = order[lo:hi]
+                for start in range(a, b, ASKERS):
+                    askers = asker[by[start : min(b, start + ASKERS)]]
+                    near = (q[askers] @ base[rows_].T) / (q_length[askers][:, None] * length[rows_])
+                    # All that reach the k-th best others, but for the last digits; the query's own class is among them.
+                    bar = np.partition(near, max(0, near.shape[1] - k - 1), axis=1)[:, max(0, near.shape[1] - k - 1)] - MARGIN
+                    who, what = np.nonzero(near >= bar[:, None])
+                    for at in range(0, len(who), PAIRS):
+                        qi, r = askers[who[at : at + PAIRS]], rows_[what[at : at + PAIRS]]
+                        exact = np.einsum("ij,ij->i", base[r], q[qi], optimize=False) / (length[r] * q_length[qi])
+                        # Ties go to the smaller first id, and k + 1 classes hold the k nearest ids.
+                        sort = np.lexsort((names[r], -exact, qi))
+                        place = np.arange(len(sort)) - np.searchsorted(qi[sort], qi[sort], "left")
+                        for j in sort[place <= k].tolist():
+                            best[qi[j]][int(names[r[j]])] = (-float(exact[j]), int(r[j]))
+                    for i in set(askers.tolist()):
+                        if len(best[i]) > 8 * k:
+                            best[i] = dict(sorted(best[i].items(), key=lambda x: (x[1][0], x[0]))[: k + 1])
             for qi, near in enumerate(best):
-                if near:
-                    at = np.array([r for _, r in near.values()])
-                    exact = np.einsum("ij,j->i", base[at], q[qi], optimize=False) / (length[at] * q_length[qi])
-                    pairs = sorted((-s, i) for s, r in zip(exact.tolist(), at.tolist()) for i in ids[r] if i != q_ids[qi])
-                    for s, i in pairs[:k]:
-                        found_q.append(q_ids[qi])
-                        found_id.append(i)
-                        found_s.append(-s)
+                pairs = sorted((s, i) for s, r in near.values() for i in ids[r] if i != q_ids[qi])
+                for s, i in pairs[:k]:
+                    found_q.append(q_ids[qi])
+                    found_id.append(i)
+                    found_s.append(-s)
         return pa.table({"query_id": pa.array(found_q, pa.int64()), "vec_id": pa.array(found_id, pa.int64()), "score": pa.array(found_s, pa.float64())})
 
     groups = dealt.groupBy("block", "part").cogroup(asked.groupBy("block", "part"))

@@ -51,6 +51,21 @@ def test_nearest_splits_hot_buckets(spark, monkeypatch):
     test_nearest_odd(spark)
 
 
+def test_nearest_many_equal_scores(spark, monkeypatch):
+    """Multiples by powers of two score exactly alike: the smaller ids come back, however many there are."""
+    r = np.random.default_rng(5)
+    base = r.normal(size=12)
+    rows = [(i, (base * 2.0 ** (i % 60 - 30)).tolist()) for i in range(120)] + [(1_000 + i, r.normal(size=12).tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for pairs, bucket in ((ann.PAIRS, ann.BUCKET), (7, 25)):
+        monkeypatch.setattr(ann, "PAIRS", pairs)
+        monkeypatch.setattr(ann, "BUCKET", bucket)
+        found = collections.defaultdict(list)
+        for x in ann.nearest(df, df.filter("vec_id in (3, 50)"), 5).orderBy("query_id", "rank").collect():
+            found[x.query_id].append(x.vec_id)
+        assert found == {3: [0, 1, 2, 4, 5], 50: [0, 1, 2, 3, 4]}
+
+
 @pytest.mark.parametrize("n", [1, 4, 8])
 def test_nearest_few_vectors(spark, n):
     """Small tables give every query five others, or all where there are fewer."""
