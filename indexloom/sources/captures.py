@@ -49,9 +49,21 @@ def not_challenged(pages: DataFrame) -> DataFrame:
 
 
 def first_captures(pages: DataFrame, keys: list[str]) -> DataFrame:
-    """One usable capture per key: the first by ``captured`` if the pages have such a column, else the smallest."""
+    """One usable capture per key: the first by ``captured`` if the pages have such a column, else the smallest.
+
+    Most pages are captured once. Captures are counted on the keys alone, and only pages of keys
+    with several are compared and shuffled; the others stay where they are as long as those keys fit a broadcast.
+    """
     order = [c for c in ("captured",) if c in pages.columns]
-    return keep_first(not_challenged(pages), keys, order)
+    good = not_challenged(pages)
+    names = [f"_k{n}" for n in range(len(keys))]
+    counts = good.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count("*").alias("_n"))
+    several = materialize(counts.where("_n > 1").select(*names), "captured-twice")
+    same = F.lit(True)
+    for k, n in zip(keys, names):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    once, more = good.join(several, same, "left_anti"), good.join(several, same, "left_semi")
+    return once.unionByName(keep_first(more, keys, order).select(*good.columns))
 
 
 def planned_versions(main: DataFrame, limit: int | None = None) -> DataFrame:

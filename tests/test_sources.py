@@ -296,3 +296,16 @@ def test_history_decides_by_the_parsed_timeline(spark):
     rows = spark.createDataFrame([(n, text) for n, text in enumerate(cases)], "id int, html string")
     got = {r.id: r.h for r in rows.select("id", captures.has_history(F.col("html")).alias("h")).collect()}
     assert [got[n] or False for n in range(len(cases))] == [bool(v) for v in cases.values()]
+
+
+def test_first_captures_leave_single_ones_in_place(spark):
+    rows = [("a", 2, "<x>"), ("a", 1, "<y>"), ("a", 0, "<title>Client Challenge</title>"), ("b", 5, "<z>"), (None, 2, "<n>"), (None, 1, "<m>"), ("c", 1, "<q>"), ("c", 1, "<p>")]
+    pages = spark.createDataFrame(rows, "package string, captured int, html string")
+    got = sorted(((r.package, r.html) for r in captures.first_captures(pages, ["package"]).collect()), key=str)
+    assert got == sorted([("a", "<y>"), ("b", "<z>"), (None, "<m>"), ("c", "<p>")], key=str)
+    plain = {r.package: r.html for r in captures.first_captures(pages.drop("captured"), ["package"]).collect()}
+    assert plain == {"a": "<x>", "b": "<z>", None: "<m>", "c": "<p>"}
+    single = captures.first_captures(pages.where("package = 'b'"), ["package"])
+    single.collect()
+    final = single._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "BroadcastNestedLoopJoin" not in final and captures.first_captures(pages.limit(0), ["package"]).isEmpty()
