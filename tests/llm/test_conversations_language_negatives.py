@@ -5,7 +5,6 @@ import hashlib
 import random
 import zlib
 
-import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -308,17 +307,3 @@ def test_hard_negatives_of_large_numbers(spark):
 def test_hard_negatives_empty(spark):
     assert mined(spark, []) == []
     assert mined(spark, [(10, [1.0], 1)]) == []
-
-
-# ---------------------------------------------------------------- registered forms
-
-
-@pytest.mark.parametrize("name", ["op11_hirschberg_repair", "op13_strassen_negatives"])
-def test_registered_forms_equal_sql(spark, sf, name):
-    con = duckdb.connect()
-    for t in ("conversations", "embeddings"):
-        con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
-    want = con.sql(entry.oracle_sql()[name])
-    found = entry.queries()[name](spark, sf).select(*want.columns)
-    assert {t for _, t in found.dtypes} <= {"bigint", "int", "string"}
-    assert sorted(map(tuple, found.collect())) == sorted(want.fetchall())

@@ -156,7 +156,7 @@ def test_pipeline_stages(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if QUERIES[n][1]))
 def test_matches_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
     df = entry.queries()[name](spark, sf)
     columns = sorted(df.columns)
@@ -167,7 +167,7 @@ def test_matches_sql(spark, sf, name):
 
 def test_all_registered():
     numbers = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert numbers == {f"op{i}" for i in range(1, 11)} and "pipeline" in entry.queries()
+    assert numbers == {f"op{i}" for i in range(1, 14)} and "pipeline" in entry.queries()
 
 
 def test_pipeline_runs(spark, sf):
