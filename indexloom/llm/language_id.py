@@ -221,6 +221,15 @@ def _count(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, sums = shared.value, {}
         column = {lang: i for i, lang in enumerate(model.languages)}
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            for lang, found in sums.items():
+                used = np.flatnonzero(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(used), pa.string()), pa.array(used.astype(np.int32)), pa.array(found[used])], names=["lang", "piece", "uses"]
+                )
+            sums.clear()
+
         for part in text_slices(batches, "text", SLICE):
             langs = part.column("lang")
             for lang in pc.unique(langs).to_pylist():
@@ -231,11 +240,9 @@ def _count(docs: DataFrame, model: Model) -> DataFrame:
                         lattice = Lattice(words.slice(start, WORDS), model.pieces)
                         found = lattice.expected(scaled[lattice.piece], counts[start : start + WORDS], len(scaled))
                         sums[lang] = sums.get(lang, 0) + found
-        for lang, found in sums.items():
-            used = np.flatnonzero(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(used), pa.string()), pa.array(used.astype(np.int32)), pa.array(found[used])], names=["lang", "piece", "uses"]
-            )
+                    if len(sums) >= PART:  # a task holds the sums of so many languages at most
+                        yield from flushed()
+        yield from flushed()
 
     return map_arrow(docs.select("text", "lang"), run, "lang string, piece int, uses double").groupBy("lang", "piece").agg(F.sum("uses").alias("uses"))
 
@@ -243,7 +250,7 @@ def _count(docs: DataFrame, model: Model) -> DataFrame:
 def fit(docs: DataFrame, pieces: Pieces, sample: int = SAMPLE, rounds: int = ROUNDS) -> Model:
     """Learn from ``docs(text, lang)``; rows without text or language are ignored.
 
-    A language without letters in any of its texts isn't learnt. The early rounds read about ``sample`` rows, chosen by a hash of
+    A language without letters in any of its texts isn't learnt. The driver holds the model, pieces by languages. The early rounds read about ``sample`` rows, chosen by a hash of
     their text, the last one all. Without rows the model has no language.
     """
     known = docs.select("text", "lang").filter("text is not null and lang is not null")

@@ -221,6 +221,7 @@ def test_language_parts_of_the_model(spark, pieces, monkeypatch):
     model = language_id.fit(docs, pieces)
     once = {x.doc_id: (x.lang_pred, x.score) for x in language_id.identify(docs, model).collect()}
     monkeypatch.setattr(language_id, "PART", 1)
+    assert np.allclose(language_id.fit(docs, pieces).table, model.table)
     parts = {x.doc_id: (x.lang_pred, x.score) for x in language_id.identify(docs, model).collect()}
     assert {k: v[0] for k, v in once.items()} == {k: v[0] for k, v in parts.items()} == {i: lang for i, _, lang in language_rows()}
     assert all(abs(once[k][1] - parts[k][1]) < 1e-9 for k in once)
