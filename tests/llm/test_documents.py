@@ -250,7 +250,6 @@ def test_language_model(spark, odd, docs):
 
 def test_language_model_rare_tokens_join(spark, docs, monkeypatch):
     monkeypatch.setattr(language_model, "FREQUENT", 50)
-    monkeypatch.setattr(language_model, "VOCABULARY", 20)
     test_language_model(spark, docs, docs.limit(0))
 
 
@@ -288,7 +287,6 @@ def test_language_model_shards_hold_all(spark, monkeypatch):
 @pytest.mark.parametrize("frequent", [200_000, 50])
 def test_language_model_counts_all_bigrams(spark, monkeypatch, frequent):
     """Pairs outside the most frequent tokens count as well; false hits raise a score a little, nothing lowers it."""
-    monkeypatch.setattr(language_model, "VOCABULARY", 20)
     monkeypatch.setattr(language_model, "FREQUENT", frequent)
     docs = random_words(spark, 60, 500, 600)
     got, model = lm_scores(docs)
@@ -302,6 +300,27 @@ def test_language_model_counts_all_bigrams(spark, monkeypatch, frequent):
         assert want - 1e-6 <= got[d].score <= want + 0.06 * len(t)
 
 
+def test_language_model_carried_names_and_long_words(spark, monkeypatch):
+    """Carried columns with the names of results are left out; words longer than a piece hash like whole ones."""
+    monkeypatch.setattr(language_model, "PIECE", 64)
+    rows = [(1, "a " + "x" * 200 + " b", 5), (1, "a " + "x" * 200 + " b", 6), (None, None, 7), (3, "", None), (4, "y" * 64 + " " + "x" * 199, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score long").withColumns({"_row": F.lit("r"), "_lm_text": F.lit(0), "key": F.lit("k")})
+    model, unigrams = language_model.fit(docs)
+    got = language_model.score(docs, model, unigrams, ["doc_id", "score", "_row", "_lm_text", "key"])
+    assert got.columns == ["doc_id", "_row", "_lm_text", "key", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    got = got.collect()
+    assert model.distinct == 6 and sorted(r.n_tokens for r in got) == [1, 1, 3, 4, 4]
+    assert all(r.n_known == r.n_tokens and r._row == "r" and r.score < 0 for r in got)
+
+
+@pytest.mark.parametrize("bucket", [7_000, 100])
+def test_language_model_buckets(spark, monkeypatch, bucket):
+    """However the pairs are dealt, each bigram answers with its own count or a false hit above it."""
+    monkeypatch.setattr(language_model, "BUCKET", bucket)
+    monkeypatch.setattr(language_model, "MAX_BITS", 20 * language_model.SEGMENT_BITS)
+    test_language_model_counts_all_bigrams(spark, monkeypatch, 50)
+
+
 def test_language_model_empty(spark):
     model, unigrams = language_model.fit(empty(spark))
     assert language_model.score(empty(spark), model, unigrams, ["doc_id"]).count() == 0
