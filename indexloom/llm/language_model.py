@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.llm.common import held_out, map_arrow, scratch, stored, table, text_bytes, text_slices, widened
+from indexloom.llm.common import discard, held_out, map_arrow, scratch, stored, table, text_bytes, text_slices, widened
 from indexloom.llm.suffix_dedup import _BASES, Prefixes, _mixed
 
 FOLDS = 10
@@ -301,8 +301,8 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
 PROBES = {"keys": np.uint64, "owner": np.int32, "level": np.uint8, "context": np.int32, "own": np.uint64, "before": np.uint64}
 
 
-def _spread(docs: DataFrame, model: Model, tokens_, carried: list[str]) -> DataFrame:
-    """``docs(carried, _lm_text, _row)`` read once: rows of texts (_shard -1) with their sums, and rows of probes by the shard that answers them."""
+def _spread(docs: DataFrame, model: Model, tokens_, carried: list[str], path: str) -> DataFrame:
+    """``docs(carried, _lm_text, _row)`` read once and written to ``path``: rows of texts (_shard -1) with their sums, and rows of probes by the shard that answers them."""
     starts, per = model.starts, model.per
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,7 +343,6 @@ def _spread(docs: DataFrame, model: Model, tokens_, carried: list[str]) -> DataF
 
     ddl = "_tokens long, _known long, _base double, _row long, " + ", ".join(f"_{c} binary" for c in PROBES) + ", _shard int"
     spread = map_arrow(docs, run, widened(docs.select(*carried), ddl))
-    path = scratch(docs.sparkSession, "lm-probes")
     spread.write.option("compression", "zstd").partitionBy("_shard").parquet(path)
     return docs.sparkSession.read.schema(spread.schema).parquet(path)
 
@@ -403,12 +402,13 @@ def score(docs: DataFrame, model: Model, unigrams: DataFrame, carried: list[str]
     tokens_ = spark.sparkContext.broadcast((model.frequent, model.counts))
     inner = [f"_carried{i}" for i in range(len(carried))]
     source = docs.select(*(F.col(f"`{c}`").alias(x) for c, x in zip(carried, inner)), F.col("text").alias("_lm_text"), F.monotonically_increasing_id().alias("_row"))
-    spread = _spread(source, model, tokens_, inner)
-    path = scratch(spark, "lm-parts")
+    path, probes = scratch(spark, "lm-parts"), scratch(spark, "lm-probes")
+    spread = _spread(source, model, tokens_, inner, probes)
     for number, filter_ in enumerate(model.shards()):
         shard = spark.sparkContext.broadcast(filter_)
         _answered(spread.filter(F.col("_shard") == number), shard, tokens_, scale).write.mode("append").parquet(path)
         shard.destroy()
+        discard(spark, f"{probes}/_shard={number}")
     parts = spark.read.schema(OPEN).parquet(path)
     rare = parts.select("_row", F.inline("_open"))
 
