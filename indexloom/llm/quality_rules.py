@@ -1,22 +1,27 @@
 """Quality rules: fixed limits, and robust multivariate outliers per language and source.
 
-Each document becomes a vector of transformed statistics. For every (language,
-source) group the minimum covariance determinant is approached by concentration
-steps: from a robust start, each step keeps the share ``SUPPORT`` of the group's
-documents nearest by Mahalanobis distance and takes their mean and covariance, which
-never raises the determinant. A document is an outlier if its squared distance,
-scaled so that the group's median is that of a chi-squared variable, exceeds ``CUTOFF``.
+Each document becomes a vector of transformed statistics. Counts (symbols, repeated lines, each for at most 1,000
+characters or 200 words) become roots of count + 3/8, whose sampling variance is 1/4 whatever the count; logarithms and roots of
+rates are taken as deviations from their group's median and shrink by the root of the text's length where it has fewer than
+200 words, as their sampling error grows. For every (language, source) group the minimum covariance determinant is
+approached by concentration steps: each keeps the share ``SUPPORT`` of the group's documents nearest by Mahalanobis
+distance and takes their mean and covariance, until the determinants stand still. Two starts are tried, the median with the
+pooled median deviations and the classical estimate, and each group keeps the lesser determinant. A document is an outlier
+if its squared distance, under the covariance scaled to be consistent for normal rows, exceeds ``CUTOFF``.
 
 All of it is DataFrame code. Statistics are whole thousandths, so their sums and sums of
 products are exact whole numbers: results don't depend on the order of tasks. The
 h-th smallest distance of a group comes from counts per distance bin, so a group
 that holds a third of all rows is counted in partial sums and never gathered.
-Covariances get ``FLOOR`` on the diagonal, and small groups are drawn to the spread of all
-documents by ``PRIOR_ROWS`` rows, so groups of any size, one document included, have a verdict.
+Variances get the known part of their error on the diagonal (``ERROR``: rounding, or the sampling of a count), and groups are
+drawn by ``PRIOR_ROWS`` rows to the covariance within the nearest rows of all groups, so groups of any size, one
+document included, have a verdict.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,12 +29,34 @@ from indexloom.llm.common import GAP, SPACES, stored, table
 
 WINDOW, MIN_WORDS, MAX_REPEAT = 5, 10, 20
 SYMBOLS = "#*$%&|<>"
-SUPPORT, STEPS, PRIOR_ROWS = 0.75, 3, 20
-#: Squared distance beyond which a document is an outlier, and the median of chi-squared with as many degrees as statistics.
-CUTOFF, MEDIAN = 30.0, 4.351
+SUPPORT, PRIOR_ROWS = 0.75, 20
+#: Most steps from one start, and the mean fall of the logarithm of the determinants below which they stand still.
+STEPS, STILL = 12, 0.01
+#: Squared distance beyond which a document is an outlier: for normal rows one in 70,000.
+CUTOFF = 30.0
 UNIT = 1000
-#: Least standard deviation of each statistic, in its own unit.
-VECTOR = {"word_len": 0.35, "symbols": 0.10, "points": 0.06, "upper": 0.05, "dup_lines": 0.15}
+#: Variance of each statistic that is known beforehand, in squared units: 1/4 for roots of counts, one unit of rounding for the others.
+VECTOR = ("word_len", "symbols", "points", "upper", "dup_lines")
+COUNTS = ("symbols", "dup_lines")
+ERROR = [0.25 * UNIT**2 if name in COUNTS else 1.0 for name in VECTOR]
+
+
+def _chi_squared(x: float, degrees: int) -> float:
+    """Probability that a chi-squared variable of odd ``degrees`` stays below ``x``."""
+    term, total = 1.0, 0.0
+    for j in range((degrees - 1) // 2):
+        total += term
+        term *= x / (2 * j + 3)
+    return math.erf(math.sqrt(x / 2)) - math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * total
+
+
+def consistency(support: float, degrees: int) -> float:
+    """What the covariance of the nearest ``support`` of normal rows is multiplied by to be that of all."""
+    low, high = 0.0, 1e3
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if _chi_squared(middle, degrees) < support else (low, middle)
+    return support / _chi_squared(low, degrees + 2)
 
 
 def _without(text: Column, chars: str) -> Column:
@@ -90,21 +117,21 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _vector() -> list[Column]:
-    """The statistics in whole thousandths: roots and logarithms keep tails short."""
+    """The statistics in whole thousandths."""
     words = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     chars = F.greatest(F.col("word_chars"), F.lit(1)).cast("double")
     values = {
-        "word_len": F.log1p(F.col("word_chars") / words) * F.least(F.lit(1.0), F.sqrt(words / 200)) + F.lit(1.85) * (1 - F.least(F.lit(1.0), F.sqrt(words / 200))),
-        "symbols": F.sqrt(F.col("n_symbols") / chars),
+        "word_len": F.log1p(F.col("word_chars") / words),
+        "symbols": F.sqrt(F.col("n_symbols") * F.least(F.lit(1.0), 1000 / chars) + 0.375),
         "points": F.sqrt(F.col("_points") / chars),
-        "upper": F.col("_upper") / chars,
-        "dup_lines": F.log1p(F.col("n_dup_lines").cast("double")) / 4,
+        "upper": F.sqrt(F.col("_upper") / chars),
+        "dup_lines": F.sqrt(F.col("n_dup_lines") * F.least(F.lit(1.0), 200 / words) + 0.375),
     }
-    return [F.round(v * UNIT).cast("long").alias(f"x{i}") for i, v in enumerate(values.values())]
+    return [F.round(values[name] * UNIT).cast("long").alias(f"x{i}") for i, name in enumerate(VECTOR)]
 
 
 K = len(VECTOR)
-FLOORS = [(f * UNIT) ** 2 for f in VECTOR.values()]
+CONSISTENCY = consistency(SUPPORT, K)
 GROUP = ("lang", "source")
 
 
@@ -115,23 +142,33 @@ def _moments(rows: DataFrame, group: list[str]) -> DataFrame:
     return rows.groupBy(*group).agg(F.count("*").alias("n"), *sums, *products)
 
 
-def _shape(moments: DataFrame, group: list[str], whole: dict[str, float]) -> DataFrame:
-    """Mean and the lower Cholesky factor of the covariance of each group, drawn to the whole's spread."""
+def _pooled(moments: DataFrame) -> dict[str, float]:
+    """Covariance within groups, over all of them."""
     n = F.col("n").cast("double")
-    out = moments.select(*group, "n", *((F.col(f"s{i}") / n).alias(f"m{i}") for i in range(K)), *(f"s{i}_{j}" for i in range(K) for j in range(i + 1)))
+    within = [F.sum(F.col(f"s{i}_{j}") - F.col(f"s{i}") / n * F.col(f"s{j}")).alias(f"{i}_{j}") for i in range(K) for j in range(i + 1)]
+    one = moments.agg(F.sum("n").alias("n"), *within).first().asDict()
+    n = one.pop("n") or 1
+    return {name: (v or 0.0) / n for name, v in one.items()}
+
+
+def _shape(moments: DataFrame, pooled: dict[str, float]) -> DataFrame:
+    """Mean, lower Cholesky factor of the covariance, drawn to the pooled one, and logarithm of its determinant for each group."""
+    n = F.col("n").cast("double")
+    out = moments.select(*GROUP, "n", *((F.col(f"s{i}") / n).alias(f"m{i}") for i in range(K)), *(f"s{i}_{j}" for i in range(K) for j in range(i + 1)))
     covariance = {}
     for i in range(K):
         for j in range(i + 1):
             own = F.col(f"s{i}_{j}") - n * F.col(f"m{i}") * F.col(f"m{j}")
-            covariance[i, j] = ((own + PRIOR_ROWS * whole[f"{i}_{j}"]) / (n + PRIOR_ROWS) + (FLOORS[i] if i == j else 0.0)).alias(f"c{i}_{j}")
-    out = out.select(*group, "n", *(f"m{i}" for i in range(K)), *covariance.values())
+            covariance[i, j] = ((own + PRIOR_ROWS * pooled[f"{i}_{j}"]) / (n + PRIOR_ROWS) + (ERROR[i] if i == j else 0.0)).alias(f"c{i}_{j}")
+    out = out.select(*GROUP, *(f"m{i}" for i in range(K)), *covariance.values())
     for j in range(K):
         rest = F.col(f"c{j}_{j}") - sum((F.col(f"l{j}_{k}") * F.col(f"l{j}_{k}") for k in range(j)), F.lit(0.0))
-        out = out.withColumn(f"l{j}_{j}", F.sqrt(F.greatest(rest, F.lit(FLOORS[j] * 1e-6))))
+        out = out.withColumn(f"l{j}_{j}", F.sqrt(F.greatest(rest, F.lit(ERROR[j] * 1e-3))))
         for i in range(j + 1, K):
             rest = F.col(f"c{i}_{j}") - sum((F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)), F.lit(0.0))
             out = out.withColumn(f"l{i}_{j}", rest / F.col(f"l{j}_{j}"))
-    return out.select(*group, *(f"m{i}" for i in range(K)), *(f"l{i}_{j}" for i in range(K) for j in range(i + 1)))
+    logdet = sum((2 * F.log(F.col(f"l{i}_{i}")) for i in range(K)), F.lit(0.0))
+    return out.select(*GROUP, *(f"m{i}" for i in range(K)), *(f"l{i}_{j}" for i in range(K) for j in range(i + 1)), logdet.alias("logdet"))
 
 
 def _match(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -140,14 +177,17 @@ def _match(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(named, same[0] & same[1]).drop("_g_lang", "_g_source")
 
 
-def _distances(rows: DataFrame, shape: DataFrame) -> DataFrame:
-    """Squared Mahalanobis distance ``d2`` of each row from its group's shape."""
-    out = _match(rows, shape)
+def _squared(out: DataFrame) -> DataFrame:
+    """``d2``: the squared Mahalanobis distance of x from m under the factor l of the same row."""
     for i in range(K):
         rest = F.col(f"x{i}") - F.col(f"m{i}") - sum((F.col(f"l{i}_{j}") * F.col(f"_y{j}") for j in range(i)), F.lit(0.0))
         out = out.withColumn(f"_y{i}", rest / F.col(f"l{i}_{i}"))
-    d2 = sum((F.col(f"_y{i}") * F.col(f"_y{i}") for i in range(K)), F.lit(0.0))
-    return out.select(*rows.columns, d2.alias("d2"))
+    return out.withColumn("d2", sum((F.col(f"_y{i}") * F.col(f"_y{i}") for i in range(K)), F.lit(0.0)))
+
+
+def _distances(rows: DataFrame, shape: DataFrame) -> DataFrame:
+    """Squared Mahalanobis distance ``d2`` of each row from its group's shape."""
+    return _squared(_match(rows, shape)).select(*rows.columns, "d2")
 
 
 def _bin(d2: Column) -> Column:
@@ -164,6 +204,54 @@ def _quantiles(distances: DataFrame, shares: dict[str, float]) -> DataFrame:
     return marked.groupBy(*GROUP).agg(*(F.min(F.when(F.col("share") >= s, F.col("bin"))).alias(name) for name, s in shares.items()))
 
 
+def _medians(rows: DataFrame) -> DataFrame:
+    """The middle of each statistic per group, from counts per value."""
+    out = None
+    for i in range(K):
+        counts = rows.groupBy(*GROUP, F.col(f"x{i}").alias("x")).agg(F.count("*").alias("n"))
+        inside = Window.partitionBy(*GROUP)
+        reached = F.sum("n").over(inside.orderBy("x")) / F.sum("n").over(inside)
+        marked = counts.select(*GROUP, "x", reached.alias("share"))
+        half = marked.groupBy(*GROUP).agg(F.min(F.when(F.col("share") >= 0.5, F.col("x"))).alias(f"middle{i}"))
+        out = half if out is None else _match(out, half)
+    return stored(out, "rule-medians")
+
+
+def _deviations() -> list[Column]:
+    """Statistics as deviations from the group's median, those of rates shrunk in texts below 200 words."""
+    weight = F.least(F.lit(1.0), F.sqrt(F.col("n_words") / 200))
+    return [F.round((F.col(f"x{i}") - F.col(f"middle{i}")) * (F.lit(1.0) if name in COUNTS else weight)).cast("long").alias(f"x{i}") for i, name in enumerate(VECTOR)]
+
+
+def _concentrated(fit: DataFrame, shape: DataFrame) -> DataFrame:
+    """Concentration steps from ``shape`` until the determinants stand still."""
+    last = math.inf
+    for _ in range(STEPS):
+        distances = _distances(fit, shape)
+        limit = stored(_quantiles(distances, {"h": SUPPORT}), "rule-limit")
+        nearest = _match(distances, limit).filter(_bin(F.col("d2")) <= F.col("h"))
+        moments = stored(_moments(nearest, list(GROUP)), "rule-moments")
+        shape = stored(_shape(moments, _pooled(moments)), "rule-shape")
+        now = shape.agg(F.avg("logdet")).first()[0]
+        if now is None or now > last - STILL:
+            break
+        last = now
+    return shape
+
+
+def estimate(fit: DataFrame) -> DataFrame:
+    """Minimum covariance determinant estimates of ``fit(lang, source, x0 ..)`` per group: the better of two starts."""
+    spread = fit.agg(*(F.expr(f"percentile(abs(x{i}), 0.5)").alias(f"x{i}") for i in range(K))).first()
+    scale = [max((spread[f"x{i}"] or 0.0) * 1.4826, ERROR[i] ** 0.5) for i in range(K)]
+    middle = [F.lit(0.0).alias(f"m{i}") for i in range(K)] + [F.lit(scale[i] if i == j else 0.0).alias(f"l{i}_{j}") for i in range(K) for j in range(i + 1)]
+    moments = stored(_moments(fit, list(GROUP)), "rule-moments")
+    starts = [moments.select(*GROUP, *middle), _shape(moments, _pooled(moments))]
+    found = [_concentrated(fit, start) for start in starts]
+    named = [f"m{i}" for i in range(K)] + [f"l{i}_{j}" for i in range(K) for j in range(i + 1)]
+    both = found[0].unionByName(found[1])
+    return stored(both.groupBy(*GROUP).agg(F.min(F.struct("logdet", *named)).alias("best")).select(*GROUP, "best.*"), "rule-shape")
+
+
 def outliers(docs: DataFrame, cutoff: float = CUTOFF, text: str = "text") -> DataFrame:
     """``docs`` without its text but with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words
     (long), base_failed, distance (double) and kept.
@@ -178,41 +266,14 @@ def outliers(docs: DataFrame, cutoff: float = CUTOFF, text: str = "text") -> Dat
     counted = base_counts(docs.drop(*(c for c in made if c != text)), text)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
     rows = stored(counted.select("*", failed.alias("base_failed"), *_vector()).drop("_points", "_upper"), "rule-counts")
-    fit = rows.filter("not base_failed").select(*GROUP, *(f"x{i}" for i in range(K)))
-    one = _moments(fit, []).first()
-    n = max(1, one["n"])
-    mean = [(one[f"s{i}"] or 0) / n for i in range(K)]
-    whole = {f"{i}_{j}": (one[f"s{i}_{j}"] or 0) / n - mean[i] * mean[j] for i in range(K) for j in range(i + 1)}
-    # Start: the middle of each statistic, from counts per value, so that single wild rows don't matter.
-    halves = []
-    for i in range(K):
-        counts = fit.groupBy(*GROUP, F.col(f"x{i}").alias("x")).agg(F.count("*").alias("n"))
-        inside = Window.partitionBy(*GROUP)
-        reached = F.sum("n").over(inside.orderBy("x")) / F.sum("n").over(inside)
-        marked = counts.select(*GROUP, "x", reached.alias("share"))
-        halves.append(marked.groupBy(*GROUP).agg(F.min(F.when(F.col("share") >= 0.5, F.col("x"))).alias(f"m{i}")))
-    start = halves[0]
-    for i, half in enumerate(halves[1:], 1):
-        start = _match(start, half)
-    diagonal = [F.lit(max(FLOORS[i], 0.0) ** 0.5 if i == j else 0.0).alias(f"l{i}_{j}") for i in range(K) for j in range(i + 1)]
-    shape = stored(start.select("*", *diagonal), "rule-shape")
-    for _ in range(STEPS):
-        distances = _distances(fit, shape)
-        limit = stored(_quantiles(distances, {"h": SUPPORT}), "rule-limit")
-        nearest = _match(distances, limit).filter(_bin(F.col("d2")) <= F.col("h"))
-        shape = stored(_shape(_moments(nearest, list(GROUP)), list(GROUP), whole), "rule-shape")
-    middle = stored(_quantiles(_distances(fit, shape), {"half": 0.5}), "rule-middle")
-    both = _match(shape, middle)
-    judged = rows.select(*rows.columns)
+    sound = rows.filter("not base_failed")
+    medians = _medians(sound)
+    fit = stored(_match(sound, medians).select(*GROUP, *_deviations()), "rule-deviations")
+    both = _match(medians, estimate(fit))
     named = both.select(*(F.col(c).alias(f"_g_{c}") if c in GROUP else F.col(c) for c in both.columns))
-    out = judged.join(named, F.col("lang").eqNullSafe(F.col("_g_lang")) & F.col("source").eqNullSafe(F.col("_g_source")), "left")
-    for i in range(K):
-        rest = F.col(f"x{i}") - F.col(f"m{i}") - sum((F.col(f"l{i}_{j}") * F.col(f"_y{j}") for j in range(i)), F.lit(0.0))
-        out = out.withColumn(f"_y{i}", rest / F.col(f"l{i}_{i}"))
-    d2 = sum((F.col(f"_y{i}") * F.col(f"_y{i}") for i in range(K)), F.lit(0.0))
-    # Never more generous than the chi-squared median asks, nor stricter than the floor allows.
-    scale = F.greatest(F.exp((F.col("half") + 1) / 64) / MEDIAN, F.lit(0.25))
-    out = out.withColumn("distance", d2 / scale)
+    same = F.col("lang").eqNullSafe(F.col("_g_lang")) & F.col("source").eqNullSafe(F.col("_g_source"))
+    out = rows.join(named, same, "left").withColumns({f"x{i}": x for i, x in enumerate(_deviations())})
+    out = _squared(out).withColumn("distance", F.col("d2") / CONSISTENCY)
     kept = [c for c in rows.columns if not (c.startswith("x") and c[1:].isdigit())]
     return out.select(*kept, "distance", (~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))).alias("kept"))
 

@@ -347,6 +347,48 @@ def test_quality_rules(spark, odd, docs):
     assert quality_rules.outliers(empty(spark)).count() == 0
 
 
+def test_consistency_factor():
+    import numpy as np
+
+    x = np.sort(np.random.default_rng(1).chisquare(5, 400_000))
+    assert quality_rules.consistency(0.75, 5) == pytest.approx(5 / x[:300_000].mean(), rel=0.01)
+
+
+def test_determinant_equals_brute_force(spark):
+    """Two groups with wild rows: determinant and verdicts of many random starts in plain numpy."""
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    mix = r.normal(size=(5, 5)) * 15
+    data = {}
+    for group, n in (("a", 400), (None, 300)):
+        x = r.normal(size=(n, 5)) @ mix.T * [1, 30, 1, 1, 30]
+        x[: n // 6] += [900, 0, -700, 0, 9000]
+        data[group] = np.round(x).astype(int)
+    fit = spark.createDataFrame([("l", g, *map(int, row)) for g, x in data.items() for row in x], "lang string, source string, " + ", ".join(f"x{i} long" for i in range(5)))
+    got = {row.source: row for row in quality_rules.estimate(fit.repartition(3)).collect()}
+    error = np.diag(quality_rules.ERROR)
+
+    def plain(x, start):
+        h = int(np.ceil(0.75 * len(x)))
+        near = start
+        for _ in range(60):
+            m, c = x[near].mean(0), np.cov(x[near].T, bias=True) + error
+            near = np.argsort((np.linalg.solve(np.linalg.cholesky(c), (x - m).T) ** 2).sum(0), kind="stable")[:h]
+        return np.linalg.slogdet(c)[1], tuple(m), c
+
+    for g, x in data.items():
+        best = min((plain(x, r.choice(len(x), 6, replace=False)) for _ in range(60)), key=lambda e: e[0])
+        row = got[g]
+        mean = np.array([row[f"m{i}"] for i in range(5)])
+        low = np.array([[row[f"l{i}_{j}"] if j <= i else 0.0 for j in range(5)] for i in range(5)])
+        assert row.logdet == pytest.approx(np.linalg.slogdet(low @ low.T)[1], abs=1e-9)
+        assert abs(row.logdet - best[0]) < 0.35  # the pooled covariance of the other group has 20 rows in it
+        far = lambda m, l: (np.linalg.solve(l, (x - m).T) ** 2).sum(0) / quality_rules.CONSISTENCY > quality_rules.CUTOFF
+        assert (far(mean, low) == far(np.array(best[1]), np.linalg.cholesky(best[2]))).all()
+        assert far(mean, low)[: len(x) // 6].all() and not far(mean, low)[len(x) // 6 :].any()
+
+
 def test_quality_rules_keep_clean_and_drop_wild(spark):
     r = random.Random(1)
     clean = [(i, prose(i, r.randint(80, 300)) + ".", "en", "a", 1) for i in range(200)]
