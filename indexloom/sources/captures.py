@@ -39,9 +39,12 @@ def reject_reason(html, has_history):
 
 
 def rejected_pages(pages: DataFrame, has_history) -> DataFrame:
-    """Unusable pages with their reason, the page text left behind."""
-    reason = reject_reason(F.col("html"), has_history).alias("reason")
-    return pages.select(*[c for c in pages.columns if c != "html"], reason).where("reason is not null")
+    """Unusable pages with their reason, the page text left behind.
+
+    The reason goes through a generator: a filter on it moved below the pages would make each of them again for every mention.
+    """
+    carried = [c for c in pages.columns if c not in ("html", "reason")]
+    return extract.evaluated_once(pages, carried, {"reason": reject_reason(F.col("html"), has_history)}).where("reason is not null")
 
 
 def not_challenged(pages: DataFrame) -> DataFrame:

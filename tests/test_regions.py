@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from indexloom.functions import html as H
 from indexloom.plans import extract
+from indexloom.workload.registered import QUERIES
 
 OPEN = '<div class="release-timeline">'
 PAGES = [
@@ -55,6 +56,11 @@ def test_classifier_lists_equal_the_fold(spark):
             assert got == fold, text
 
 
+def test_a_page_is_rendered_once_where_it_is_judged(spark, sf):
+    plan = QUERIES["pages_reject"].run(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Download files") == 1
+
+
 def test_regions_are_found_by_pattern(spark):
     pages = spark.createDataFrame([("p", "1", "")], "package string, version string, html string")
     plan = extract.with_regions(pages).select("_timeline")._jdf.queryExecution().optimizedPlan().toString()
