@@ -54,8 +54,15 @@ _HIDDEN = r"(?:!--.*?-->|(?i:script(?=[\s>]).*?</script\s*>|style(?=[\s>]).*?</s
 
 def without_hidden(html: Column) -> Column:
     """Drop comments, scripts and styles, whose content is not markup."""
+    def other(piece: Column) -> Column:
+        cased = piece.startswith("s") & piece.rlike("^(?!script)(?i:script|style)")
+        return piece.startswith("!--") | piece.startswith("S") | cased
+
+    # A pattern that starts with the literal tag is searched several times faster; it fits pages that hide scripts only.
+    scripts = F.regexp_replace(html, r"(?s)<script(?=[\s>]).*?(?i:</script\s*>)", "")
     # The second character is looked at first: most tags fail there.
-    return F.regexp_replace(html, rf"(?s)<(?=[!sS]){_HIDDEN}", "")
+    every = F.regexp_replace(html, rf"(?s)<(?=[!sS]){_HIDDEN}", "")
+    return F.when(F.exists(F.split(html, "<"), other), every).otherwise(scripts)
 
 
 def decode_references(text: Column) -> Column:
@@ -188,11 +195,9 @@ def cut(pieces: Column, span: Column) -> Column:
 NESTING = 8
 
 
-def _closed(tag: str, hidden: bool) -> str:
+def _closed(tag: str) -> str:
     """Pattern of text in which each ``tag`` is closed, up to the levels followed; it never backtracks."""
-    blocks = r"|!--|(?i:script|style)[\s>]" if hidden else ""
-    first = f"/{tag[0]}" + ("!sS" if hidden else "")
-    text = rf"(?>[^<]*)(?:<(?:(?=[^{first}])|(?!/?{tag}[\s>]{blocks}))(?>[^<]*))*+"
+    text = rf"(?>[^<]*)(?:<(?:(?=[^/{tag[0]}])|(?!/?{tag}[\s>]))(?>[^<]*))*+"
     inside = text
     for _ in range(NESTING):
         inside = rf"{text}(?:<{tag}(?=[\s>]){inside}</{tag}(?=[\s>]){text})*+"
@@ -205,45 +210,45 @@ def tag_test(tag: str, *classes: str, **attributes: str) -> str:
     return looks.replace(r"""[^\"']*""", r"""[^\"'>]*""")
 
 
-def outermost(
-    html: Column, tag: str, tests: list[str], label_of: Callable[[Column], Column], hidden: bool = False, behind: Column | None = None
-) -> Column:
-    """Outermost elements as array of (label, html) in page order, their closing tags left out.
+def outermost_html(html: Column, tag: str, tests: list[str], label_of: Callable[[Column], Column], behind: Column | None = None) -> Column:
+    """Outermost elements in page order, their closing tags left out, of html without comments, scripts and styles.
 
     ``tests`` are patterns that hold behind ``<tag`` of exactly those tags that ``label_of`` labels; they may look
-    at the text ``behind`` the html. One pattern finds all such elements. With ``hidden`` the html still has its
-    comments, scripts and styles: where an element holds one or one cuts markup in two, they are dropped first. A page with an
+    at the text ``behind`` the html. One pattern finds all such elements. A page with an
     element left open, nested deeper than ``NESTING`` or in a tag without end is folded over its pieces.
     """
-    mark = lambda e: F.struct(label_of(e).alias("label"), e.alias("html"))
-
-    def found(text: Column, raw: bool) -> Column:
-        odd = r"(?=/)|(?=\s[^<>]*+(?:<|\z))"
-        body = rf"{tag}(?:{odd}|(?=[\s>])(?:{'|'.join(tests)})(?:{_closed(tag, raw)}(?=</{tag}[\s>]))?+)"
-        if raw:
-            cut_in_two = rf"(?<=[</{tag}]<)(?=!--|(?i:script|style)[\s>])"
-            body = rf"(?:{body}|{cut_in_two}|(?=[!sS]){_HIDDEN})"
+    odd = r"(?=/)|(?=\s[^<>]*+(?:<|\z))"
+    body = rf"{tag}(?:{odd}|(?=[\s>])(?:{'|'.join(tests)})(?:{_closed(tag)}(?=</{tag}[\s>]))?+)"
+
+    def found(text: Column) -> Column:
         whole = text if behind is None else F.concat(text, behind)
         return F.regexp_extract_all(whole, F.lit(rf"(?s)<{body}"), F.lit(0))
 
-    def unclear(hits: Column) -> Column:
-        return F.array_contains(hits, f"<{tag}") | F.array_contains(hits, "<")
-
     def folded(text: Column) -> Column:
-        spans = lambda p: F.transform(element_spans(p, label_of), lambda s: F.struct(s["label"].alias("label"), cut(p, s).alias("html")))
-        return let(pieces_by(text, tag), spans)
+        return let(pieces_by(text, tag), lambda p: F.transform(element_spans(p, label_of), lambda s: cut(p, s)))
 
-    def stripped(text: Column) -> Column:
-        return let(found(text, False), lambda hits: F.when(unclear(hits), folded(text)).otherwise(F.transform(hits, mark)))
-
-    if not hidden:
-        return let(html, stripped)
-    elements_only = lambda hits: F.transform(F.filter(hits, lambda e: e.startswith(f"<{tag}")), mark)
     return let(
-        found(html, True), lambda hits: F.when(unclear(hits), let(without_hidden(html), stripped)).otherwise(elements_only(hits))
+        html, lambda text: let(found(text), lambda hits: F.when(F.array_contains(hits, f"<{tag}"), folded(text)).otherwise(hits))
     )
 
 
+def outermost(
+    html: Column, tag: str, tests: list[str], label_of: Callable[[Column], Column], hidden: bool = False, behind: Column | None = None
+) -> Column:
+    """``outermost_html`` with the labels: array of (label, html).
+
+    With ``hidden`` the html still has its comments, scripts and styles, which are dropped first.
+    """
+    found = outermost_html(without_hidden(html) if hidden else html, tag, tests, label_of, behind)
+    return F.transform(found, lambda e: F.struct(label_of(e).alias("label"), e.alias("html")))
+
+
+def first_element(fragment: Column, tag: str, wanted: Callable[[Column], Column], test: str) -> Column:
+    """The first of ``elements``; null if none. Where the fragment starts with it nothing behind it is read."""
+    here = F.regexp_extract(fragment, rf"(?s)^<{tag}(?=[\s>])(?=[^<>]*+>){_closed(tag)}(?=</{tag}[\s>])", 0)
+    return let(here, lambda e: F.when((e != "") & wanted(e), e).otherwise(F.get(elements(fragment, tag, wanted, test), 0)))
+
+
 def inner(outer: Column) -> Column:
     """What follows the first tag of a cut span."""
     return F.regexp_replace(outer, r"^<[^>]*>", "")

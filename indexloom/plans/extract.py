@@ -7,6 +7,9 @@ feeds. Keep the parsed rows (``materialize``) when several entities are wanted.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from indexloom.functions import html as H
@@ -41,7 +44,9 @@ def _page_label(piece: Column) -> Column:
 
     def region(tag: Column) -> Column:
         def is_open(*classes: str, **attributes: str) -> Column:
-            return H.opens(tag, "div", *classes, **attributes)
+            # Most tags lack the words and need no pattern.
+            quick = [tag.contains(c) for c in classes] + [tag.contains(a) for a in attributes]
+            return reduce(and_, quick) & H.opens(tag, "div", *classes, **attributes)
 
         return (
             F.when(~tag.rlike(r"\s(class|id)\s*="), F.lit(None).cast("string"))
@@ -56,13 +61,23 @@ def _page_label(piece: Column) -> Column:
     return let(F.substring_index(piece, ">", 1), region)
 
 
-_PAGE_TESTS = [
+# A word that the opening tag of each region holds.
+_REGION_WORDS = {
+    "verified": "sidebar-section", "unverified": "sidebar-section", "header": "package-header__right",
+    "description": "project-description", "timeline": "release-timeline", "files": "files",
+}
+_ANY_REGION = "|".join([
     H.tag_test("div", "sidebar-section", "verified"),
     H.tag_test("div", "sidebar-section", "unverified"),
     H.tag_test("div", "package-header__right"),
     H.tag_test("div", "project-description"),
     H.tag_test("div", "release-timeline"),
     H.tag_test("div", id="files[\"']"),
+])
+# Most tags hold none of the words: one look for any of them comes before the tests one by one.
+_PAGE_TESTS = [
+    r"(?=[^>]*?\s(?:class\s*=\s*[\"'][^\"'>]*?(?<![\w-])"
+    rf"(?:sidebar-section|package-header__right|project-description|release-timeline)|id\s*=\s*[\"']files))(?:{_ANY_REGION})"
 ]
 
 
@@ -71,29 +86,37 @@ def page_regions(html: Column) -> Column:
     return H.outermost(html, "div", _PAGE_TESTS, _page_label, hidden=True)
 
 
+def _is_region(element: Column, name: str) -> Column:
+    return F.substring_index(element, ">", 1).contains(_REGION_WORDS[name]) & (_page_label(element) == name)
+
+
 def with_regions(pages: DataFrame, regions_read: bool = True, rest_read: bool = True) -> DataFrame:
-    """Add the page regions the rules read, and the page itself as ``_page``.
+    """Add the page regions the rules read, and the page without its hidden parts as ``_page``.
 
     Without ``regions_read`` the regions are cut out only of pages whose version neither the row nor the page header
     tells, without ``rest_read`` what lies outside them is read only of pages whose row has no version.
     """
-    source = F.col("html")
-    split = pages.withColumn("_doc", H.without_hidden(source if rest_read else F.when(F.col("version").isNull(), source)))
+    unnamed = F.col("version").isNull()
+    split = pages.withColumn("_page", H.without_hidden(F.col("html")))
+    doc = F.col("_page") if rest_read else F.when(unnamed, F.col("_page"))
+    source = F.col("_page")
     if not regions_read:
-        name = H.first_leaf(F.col("_doc"), H.ANY_TAG, "package-header__name")
-        source = F.when(F.col("version").isNull(), F.when(current_version(name).isNull(), source))
-    split = split.withColumn("_regions", page_regions(source))
+        name = H.first_leaf(doc, H.ANY_TAG, "package-header__name")
+        source = F.when(unnamed, F.when(current_version(name).isNull(), source))
+    # Labels are told for the regions that are read only.
+    split = split.withColumn("_regions", H.outermost_html(source, "div", _PAGE_TESTS, _page_label))
     keep = [c for c in pages.columns if c != "html"]
+    hits = lambda name: F.filter("_regions", lambda e: _is_region(e, name))
     regions = [
-        H.first_labelled(F.col("_regions"), name).alias(f"_{name}")
+        F.coalesce(F.get(hits(name), 0), F.lit("")).alias(f"_{name}")
         for name in ("verified", "unverified", "description", "timeline", "files")
     ]
-    header = F.array_join(H.labelled(F.col("_regions"), "header"), "\n").alias("_header")
-    name = H.first_leaf(F.col("_doc"), H.ANY_TAG, "package-header__name").alias("_name")
-    date = H.first_leaf(F.col("_doc"), H.ANY_TAG, "package-header__date").alias("_date")
-    summary = H.first_leaf(F.col("_doc"), H.ANY_TAG, "package-description__summary").alias("_summary")
-    tags = F.regexp_extract(F.col("_doc"), rf"(?s){H.opening('ul', 'sidebar-section__classifiers')}.*", 0)
-    cut = split.select(*keep, F.col("html").alias("_page"), *regions, header, name, date, summary, tags.alias("_tags"))
+    header = F.array_join(hits("header"), "\n").alias("_header")
+    name = H.first_leaf(doc, H.ANY_TAG, "package-header__name").alias("_name")
+    date = H.first_leaf(doc, H.ANY_TAG, "package-header__date").alias("_date")
+    summary = H.first_leaf(doc, H.ANY_TAG, "package-description__summary").alias("_summary")
+    tags = F.regexp_extract(doc, rf"(?s){H.opening('ul', 'sidebar-section__classifiers')}.*", 0)
+    cut = split.select(*keep, "_page", *regions, header, name, date, summary, tags.alias("_tags"))
     return cut.withColumns(
         {"_own": H.list_items(F.col("_verified")), "_claimed": H.list_items(F.col("_unverified"))}
     )
@@ -108,11 +131,12 @@ def quarantine_status(header: Column) -> Column:
 def owner(verified: Column) -> Column:
     """First link of the list behind the last "Owner" heading: struct(name, display_name), null if none."""
     links = F.filter(H.list_after_heading(verified, "Owner", last=True), lambda a: a["href"] != "")
-    link = F.get(links, 0)
-    slug = F.element_at(F.split(F.regexp_replace(link["href"], "/$", ""), "/"), -1)
-    return F.when(
-        link.isNotNull(), F.struct(slug.alias("name"), link["text"].alias("display_name"))
-    )
+
+    def of(link: Column) -> Column:
+        slug = F.element_at(F.split(F.regexp_replace(link["href"], "/$", ""), "/"), -1)
+        return F.when(link.isNotNull(), F.struct(slug.alias("name"), link["text"].alias("display_name")))
+
+    return let(F.get(links, 0), of)
 
 
 def current_version(name: Column) -> Column:
@@ -170,18 +194,21 @@ def history(timeline: Column) -> Column:
     items = F.filter(blocks, lambda b: H.opens(b, "div", "release"))
 
     def badge(version: Column, kind: str, text: str) -> Column:
-        return version.rlike(rf"(?s){H.opening('span', kind)}\s*{text}\s*</span")
+        return version.contains(text) & version.rlike(rf"(?s){H.opening('span', kind)}\s*{text}\s*</span")
+
+    def plain(version: Column) -> Column:
+        return F.when(version.contains("<span"), F.regexp_replace(version, r"(?s)<span(?=[\s>]).*?</span\s*>", "")).otherwise(version)
 
     def entry(item: Column) -> Column:
         reason = non_blank(H.clean_text(H.first_leaf(item, H.ANY_TAG, "release__yanked-reason")))
         return let(
             H.first_leaf(item, H.ANY_TAG, "release__version"),
-            lambda cell: F.struct(
-                H.clean_text(F.regexp_replace(cell, r"(?s)<span(?=[\s>]).*?</span\s*>", "")).alias("version"),
+            lambda cell: let(badge(cell, "badge--danger", "yanked"), lambda yanked: F.struct(
+                H.clean_text(plain(cell)).alias("version"),
                 badge(cell, "badge--warning", "pre-release").alias("is_prerelease"),
-                badge(cell, "badge--danger", "yanked").alias("yanked"),
-                F.when(badge(cell, "badge--danger", "yanked"), reason).alias("yanked_reason"),
-            ),
+                yanked.alias("yanked"),
+                F.when(yanked, reason).alias("yanked_reason"),
+            )),
         )
 
     return F.transform(items, entry).cast(_HISTORY)
@@ -278,6 +305,11 @@ _LISTED_ID = (
 
 def file_panels(html: Column, kinds: Column) -> Column:
     """Detail blocks whose id is a listed filename: array of (filename, kind, panel)."""
+    return let(H.without_hidden(html), lambda page: _panels(page, kinds))
+
+
+def _panels(html: Column, kinds: Column) -> Column:
+    """``file_panels`` of a page without hidden parts."""
     def label(piece: Column) -> Column:
         tag = F.substring_index(piece, ">", 1)
         name = F.regexp_extract(tag, r"^<div(?=\s)[^>]*?\sid\s*=\s*[\"']([^\"']+)", 1)
@@ -287,11 +319,11 @@ def file_panels(html: Column, kinds: Column) -> Column:
     unfit = html.contains(_LIST) | html.contains(_ENTRY) | F.exists(
         kinds, lambda k: k["filename"].contains(_ENTRY) | k["filename"].contains(_LIST) | k["filename"].contains("<")
     )
-    folded = let(H.pieces_by(H.without_hidden(html), "div"), lambda p: F.transform(
+    folded = let(H.pieces_by(html, "div"), lambda p: F.transform(
         H.element_spans(p, label), lambda s: F.struct(s["label"].alias("label"), H.cut(p, s).alias("html"))
     ))
     behind = F.concat(F.lit(_LIST), F.array_join(names, ""))
-    found = H.outermost(html, "div", [_LISTED_ID], label, hidden=True, behind=behind)
+    found = H.outermost(html, "div", [_LISTED_ID], label, behind=behind)
     none = F.array().cast("array<struct<label:string,html:string>>")
     blocks = F.when(F.size(kinds) == 0, none).when(unfit, folded).otherwise(found)
     return F.transform(
@@ -340,7 +372,7 @@ def project_links(verified: Column, unverified: Column) -> Column:
 def classifiers(tags: Column) -> Column:
     """First classifier list: array of (category, value)."""
     marked = "sidebar-section__classifiers"
-    listing = F.get(H.elements(tags, "ul", lambda p: H.opens(p, "ul", marked), H.tag_test("ul", marked)), 0)
+    listing = H.first_element(tags, "ul", lambda p: H.opens(p, "ul", marked), H.tag_test("ul", marked))
     groups = H.elements(F.coalesce(H.inner(listing), F.lit("")), "li", lambda p: F.lit(True), "")
 
     def group(g: Column) -> Column:
@@ -440,7 +472,7 @@ def parse_pages(pages: DataFrame, fields: tuple[str, ...] = tuple(FIELDS)) -> Da
     step = step.withColumn("_entry", first_match(F.col("_history"), F.col("_version")))
     if "files" in fields:
         panels = F.transform(
-            file_panels(F.col("_page"), F.col("_kinds")),
+            _panels(F.col("_page"), F.col("_kinds")),
             lambda f: F.struct(f["filename"], f["kind"], f["panel"], H.list_items(f["panel"]).alias("items")),
         )
         step = step.withColumn("_panels", panels)

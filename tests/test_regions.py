@@ -65,3 +65,34 @@ def test_regions_are_found_by_pattern(spark):
     pages = spark.createDataFrame([("p", "1", "")], "package string, version string, html string")
     plan = extract.with_regions(pages).select("_timeline")._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all" in plan
+
+
+def test_hidden_parts_by_either_pattern(spark):
+    texts = PAGES + [
+        "a<script>x</script>b", "<script src='<div>'>x</SCRIPT >b<script>open", "<scripts>x</script>", "<Script>x</script>y<script>z</script>",
+        "<script>a<!-- b</script>c--></script>d", "<style>a<script>b</style>c</script>d", "<sTyle>a</style>b", "<strong>S</strong>!--x<span>s</span>",
+    ]
+    html = F.col("html")
+    frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "html string")
+    wanted = F.regexp_replace(html, rf"(?s)<(?=[!sS]){H._HIDDEN}", "")
+    for page, got, plain in frame.select(html, H.without_hidden(html), wanted).collect():
+        assert got == plain, page
+
+
+def test_first_element_is_the_first_of_all(spark):
+    texts = [
+        "<ul class='k'>a<ul>b</ul></ul>c<ul class='k'>d</ul>", "<ul class='k'>open<ul>x</ul>", "x<ul class='k'>a</ul>", "<ul class='j'>a</ul><ul class='k'>b</ul>",
+        "<ul class='a>b k'>c</ul>", "<ul class='k' <b>c</ul>", f"<ul class='k'>{'<ul>' * 12}deep{'</ul>' * 12}</ul>e", "", "<ul class='k'>a</ulx></ul >b",
+    ]
+    wanted = lambda p: H.opens(p, "ul", "k")
+    first = H.first_element(F.col("t"), "ul", wanted, H.tag_test("ul", "k"))
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    for text, got, fold in frame.select("t", first, F.get(H.elements(F.col("t"), "ul", wanted), 0)).collect():
+        assert got == fold, text
+
+
+def test_links_of_the_owner_and_hidden_parts_are_read_once(spark):
+    pages = spark.createDataFrame([("p", "1", "")], "package string, version string, html string")
+    plan = extract.parse_pages(pages, ("organization",))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("vertical") == 1
+    assert plan.count("<script(?=") == 1
