@@ -16,6 +16,8 @@ from indexloom.llm import byte_bpe, mixing, near_dup, suffix_dedup, toxicity
 from indexloom.llm.common import stored, table
 
 TOXIC = 0.5
+#: Bytes of a passage of 50 words, four letters and a space each.
+PASSAGE = 250
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -39,8 +41,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that occur elsewhere; a text that is one such passage stays as an empty one."""
-    cut = suffix_dedup.remove_repeats(docs)
+    """Texts without the passages of over 50 words that occur elsewhere; a text that is one such passage stays as an empty one."""
+    cut = suffix_dedup.remove_repeats(docs, length=PASSAGE)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return cut.select(*docs.columns)

@@ -101,6 +101,18 @@ def test_repeats_salted_groups(spark, monkeypatch):
     check_repeats(spark.createDataFrame(rows, SCHEMA))
 
 
+@pytest.mark.parametrize("length", [40, 250])
+def test_repeats_of_another_length(spark, monkeypatch, length):
+    """Passages a little shorter and longer than asked for, plain and over salts."""
+    rows = [(i, f"{prose(300 + i, 40)} {prose(6, 200)[: length + i % 5 - 2]}|{prose(700 + i, 20 + i % 7)}", "en", "a", 1) for i in range(24)]
+    rows += [(i, prose(40 + i // 2, 60), "en", "a", 1) for i in range(30, 34)]
+    monkeypatch.setattr(suffix_dedup, "GROUP", 4)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    want = collections.Counter((r[0], *x) for r, x in zip(rows, without_repeats([r[1] for r in rows], length)))
+    got = suffix_dedup.remove_repeats(frame, length=length).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert collections.Counter(map(tuple, got)) == want
+
+
 def test_repeats_shape(spark, odd):
     cut = suffix_dedup.remove_repeats(odd.withColumn("n_bytes", F.lit("clash")))
     assert cut.columns == ["doc_id", "lang", "source", "n_chars", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256"]

@@ -153,6 +153,19 @@ def test_pipeline_stages(spark, tmp_path):
         docs = spark.createDataFrame(rows, out.schema)
 
 
+def test_pipeline_cuts_passages_of_over_50_words(spark, tmp_path):
+    """51 words below 400 bytes that two texts share go from both; 20 shared words stay."""
+    r = random.Random(9)
+    words = lambda n: " ".join("".join(r.choices("abcdefgh", k=r.randint(3, 7))) for _ in range(n))
+    long, short = words(51), words(20)
+    assert 250 < len(long) < 400
+    rows = [(i, f"{words(60)} {p} {words(60)}", "en", "s0", 1) for i, p in enumerate((long, long, short, short, words(51)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    cut = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, docs, str(tmp_path)).collect()}
+    assert not any(long in cut[i] for i in (0, 1)) and all(len(cut[i]) <= len(rows[i][1]) - len(long) for i in (0, 1))
+    assert all(cut[i] == rows[i][1] for i in (2, 3, 4))
+
+
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if QUERIES[n][1]))
 def test_matches_sql(spark, sf, name):
     con = duckdb.connect()
