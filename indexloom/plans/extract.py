@@ -353,25 +353,26 @@ def _panels(html: Column, kinds: Column) -> Column:
     )
 
 
-def file_row(entry: Column) -> Column:
-    """One detail block as a struct with its hashes, tag and provenance."""
+def file_row(entry: Column, parts: tuple[str, ...] | None = None) -> Column:
+    """One detail block as a struct with its hashes, tag and provenance, or of the named parts only."""
     panel, items = entry["panel"], entry["items"]
     trusted = "Uploaded using Trusted Publishing?"
     tag = H.value_after(H.item_with_prefix(items, "Tags:"), "Tags:")
-    return F.struct(
-        entry["filename"].alias("filename"),
-        H.link_target(panel, href="").alias("path"),
-        parse_size(H.decode_references(H.after_label(H.item_with_prefix(items, "Size:"), "Size:"))).alias("size"),
-        H.time_stamp(H.item_with_prefix(items, "Upload date:")["html"]).alias("upload_time"),
-        F.coalesce(H.value_after(H.item_with_prefix(items, trusted), trusted) == "Yes", F.lit(False)).alias(
-            "is_trusted_publishing"
+    row = {
+        "filename": entry["filename"],
+        "path": H.link_target(panel, href=""),
+        "size": parse_size(H.decode_references(H.after_label(H.item_with_prefix(items, "Size:"), "Size:"))),
+        "upload_time": H.time_stamp(H.item_with_prefix(items, "Upload date:")["html"]),
+        "is_trusted_publishing": F.coalesce(
+            H.value_after(H.item_with_prefix(items, trusted), trusted) == "Yes", F.lit(False)
         ),
-        H.value_after(H.item_with_prefix(items, "Uploaded via:"), "Uploaded via:").alias("uploaded_via"),
-        entry["kind"].alias("packagetype"),
-        hash_rows(panel).alias("hashes"),
-        F.when(entry["kind"] == "wheel", tag).alias("wheel_tag"),
-        attestation(panel, items).alias("attestation"),
-    )
+        "uploaded_via": H.value_after(H.item_with_prefix(items, "Uploaded via:"), "Uploaded via:"),
+        "packagetype": entry["kind"],
+        "hashes": hash_rows(panel),
+        "wheel_tag": F.when(entry["kind"] == "wheel", tag),
+        "attestation": attestation(panel, items),
+    }
+    return F.struct(*[row[p].alias(p) for p in parts or row])
 
 
 def project_links(verified: Column, unverified: Column) -> Column:
@@ -439,7 +440,7 @@ FIELDS = {
     "contact": lambda: contact(F.col("_own"), F.col("_claimed"), "Maintainer:"),
     "keywords": lambda: keywords(F.col("_claimed")),
     "extras": lambda: extras(F.col("_claimed")),
-    "files": lambda: F.transform(F.col("_panels"), file_row),
+    "files": lambda: F.transform(F.col("_panels"), lambda e: file_row(e)),
     "links": lambda: project_links(F.col("_verified"), F.col("_unverified")),
     "classifiers": lambda: classifiers(F.col("_tags")),
     "maintainers": lambda: maintainers(F.col("_verified")),
@@ -470,12 +471,23 @@ ENTITY_FIELDS = {
 """Which parsed fields an entity is made of."""
 
 
-def parse_pages(pages: DataFrame, fields: tuple[str, ...] = tuple(FIELDS)) -> DataFrame:
+FILE_PARTS = {
+    "release_file": tuple(ENTITIES["release_file"].names[2:]),
+    "file_hash": ("filename", "hashes"),
+    "release_file_tag": ("filename", "wheel_tag"),
+    "attestation": ("filename", "attestation"),
+}
+"""Which parts of a file row an entity is made of."""
+
+
+def parse_pages(
+    pages: DataFrame, fields: tuple[str, ...] = tuple(FIELDS), file_parts: tuple[str, ...] | None = None
+) -> DataFrame:
     """One row per page: ``package, version`` and whatever else came along, plus parsed fields.
 
     Input needs ``package, version, html``. A null version is taken from the
     page header, else from the first history entry. ``fields`` restricts the
-    work to the rules that are needed.
+    work to the rules that are needed, ``file_parts`` that of the field files.
     """
     carried = [c for c in pages.columns if c not in ("html", "version")]
     step = with_regions(pages, not set(fields) <= _OUTSIDE_REGIONS, bool(set(fields) & _OUTSIDE_REGIONS)).withColumn("_kinds", file_kinds(F.col("_files")))
@@ -493,7 +505,10 @@ def parse_pages(pages: DataFrame, fields: tuple[str, ...] = tuple(FIELDS)) -> Da
             lambda f: F.struct(f["filename"], f["kind"], f["panel"], H.list_items(f["panel"]).alias("items")),
         )
         step = step.withColumn("_panels", panels)
-    return evaluated_once(step, carried, {"version": F.col("_version"), **{f: FIELDS[f]() for f in fields}})
+    columns = {f: FIELDS[f]() for f in fields}
+    if file_parts and "files" in fields:
+        columns["files"] = F.transform(F.col("_panels"), lambda e: file_row(e, file_parts))
+    return evaluated_once(step, carried, {"version": F.col("_version"), **columns})
 
 
 def evaluated_once(df: DataFrame, keep: list[str], columns: dict[str, Column]) -> DataFrame:

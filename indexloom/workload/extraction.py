@@ -20,7 +20,7 @@ ORDER = ["rank", "place"]
 def _entity(name: str):
     def run(spark, sf):
         pages = release_pages(spark, sf)
-        parsed = extract.parse_pages(pages, extract.ENTITY_FIELDS[name])
+        parsed = extract.parse_pages(pages, extract.ENTITY_FIELDS[name], extract.FILE_PARTS.get(name))
         entity = ENTITIES[name]
         if name in ("classifier", "maintained_by"):
             return distinct_rows(extract.entity_rows(parsed, name), entity.names)

@@ -1,10 +1,11 @@
-"""Parts of pages found by one pattern built once."""
+"""Parts of pages found by one pattern built once, and file rows without the parts that are not asked for."""
 
 from pyspark.sql import functions as F
 
 from indexloom.functions import html as H
 from indexloom.functions.text import let
 from indexloom.plans import extract
+from page_samples import page
 from test_regions import folded
 
 TEXTS = [
@@ -79,3 +80,13 @@ def test_a_value_is_kept_for_its_uses_without_an_array(spark):
     row = texts(spark, ["x", None]).select(let(F.upper("t"), lambda v: F.struct(v.alias("a"), F.coalesce(v, F.lit("none")).alias("b"))))
     assert [tuple(r[0]) for r in row.collect()] == [("X", "X"), (None, "none")]
     assert "transform" not in plan(row)
+
+
+def test_file_rows_hold_the_parts_asked_for(spark):
+    pages = spark.createDataFrame([("p", "2.0", page())], "package string, version string, html string")
+    whole = extract.parse_pages(pages, ("files",))
+    for entity, parts in extract.FILE_PARTS.items():
+        some = extract.parse_pages(pages, ("files",), parts)
+        assert extract.entity_rows(some, entity).collect() == extract.entity_rows(whole, entity).collect()
+        assert ("<tbody" in plan(some)) == (entity == "file_hash")
+        assert ("Trigger Event:" in plan(some)) == (entity == "attestation")
